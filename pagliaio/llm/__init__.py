@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import importlib
 
-_QUERY_MODULES = ["grouping_queries", "percentile_queries", "text_queries"]
+_QUERY_MODULES = ["grouping_queries", "percentile_queries", "text_queries", "matching_queries"]
 
 
 def query_modules() -> list:
