@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagliaio.llm.addresses import same_address_pairs
 from pagliaio.llm.matching import match_pages
+from pagliaio.llm.personal import find_personal
 from pagliaio.tables import current_state, load, rec_name
 
 #: Least confidence of a reported match.
@@ -34,6 +35,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_address_pairs(current_state(load(spark, sf_dir, "listings"), ["comune", "address_raw", "zona_raw", "title", "caption"]))
 
 
-QUERIES = {"p2_found": p2_found, "p2_matches": p2_matches, "p5_found": p5_found}
+def p7_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listing's description and address with typed placeholders for personal data."""
+    return find_personal(current_state(load(spark, sf_dir, "listings"), ["comune", "description", "address_raw"])).select("rec", "description", "address_raw", F.size("found").alias("n_found"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each piece of personal data with its field, kind and first character."""
+    found = find_personal(current_state(load(spark, sf_dir, "listings"), ["comune", "description", "address_raw"]))
+    return found.select("rec", F.explode("found").alias("f")).select("rec", "f.field", "f.kind", "f.span_start")
+
+
+QUERIES = {"p2_found": p2_found, "p2_matches": p2_matches, "p5_found": p5_found, "p7_found": p7_found, "p7_redacted": p7_redacted}
 
 SQL: dict[str, str] = {}
