@@ -17,6 +17,7 @@ import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,13 +61,13 @@ def matching_words_column(col: Column | str) -> Column:
     return run(col)
 
 
-def common_subsequence(item: list[str], hits: list[tuple[int, str]], low: int, high: int) -> int:
+def common_subsequence(item: list, hits: list[tuple[int, object]], low: int, high: int) -> int:
     """Longest common subsequence (Hunt-Szymanski) of the item and the words at ``hits``.
 
     Only hits whose offset, position in the document minus position in the item,
     lies in ``[low, high)`` count.
     """
-    where: dict[str, list[int]] = {}
+    where: dict[object, list[int]] = {}
     for pos, term in sorted(hits, reverse=True):
         where.setdefault(term, []).append(pos)
     tails: list[int] = []
@@ -81,9 +82,28 @@ def common_subsequence(item: list[str], hits: list[tuple[int, str]], low: int, h
     return len(tails)
 
 
-def corpus_postings(docs: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFrame:
-    words = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.split(matching_words_column(text), " ").alias("w"))
-    return words.select("doc_id", F.posexplode("w").alias("pos", "term")).join(broadcast_if_small(terms), "term", "left_semi")
+#: Different words of the items that one pass over the corpus looks up; more items take more passes.
+TERMS_PER_PASS = 500_000
+
+
+def _index(docs: DataFrame, vocabulary: dict[str, int], doc_id: str, text: str) -> DataFrame:
+    """``doc_id, pos, term``: per document the places and numbers of the words in ``vocabulary``."""
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.pandas_udf("struct<pos:array<int>,term:array<int>>")
+    def postings(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        number = known.value.get
+        for texts in batches:
+            places, terms = [], []
+            for text in texts:
+                ids = np.fromiter((number(w, -1) for w in matching_words(text).split(" ")), dtype=np.int32)
+                at = np.flatnonzero(ids >= 0)
+                places.append(at.astype(np.int32))
+                terms.append(ids[at])
+            yield pd.DataFrame({"pos": places, "term": terms})
+
+    rows = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), postings(text).alias("p"))
+    return rows.where(F.size("p.pos") > 0).select("doc_id", "p.pos", "p.term")
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = 0.5) -> DataFrame:
@@ -91,10 +111,10 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 
     Close together means that the words' offsets against the item lie in one band
     one item long (bands start every half item): half an item of words may be
-    inserted or left out in between. NULL and wordless texts match nothing; repeated documents or items give one row
-    each pair of ids. Items of one or two words count like others. ``exact`` says
-    that all words stand in order within the item's own length. The work per
-    candidate is bounded by the item's length, not the document's.
+    inserted or left out in between. NULL and wordless texts match nothing; repeated
+    documents or items give one row each pair of ids. Items of one or two words count
+    like others. ``exact`` says that all words stand in order without others between.
+    The work per candidate is bounded by the item's length, not the document's.
     """
     tokens = (
         items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull())
@@ -103,9 +123,23 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
         .withColumn("n", F.size("w"))
     )
     tokens = cut_lineage(tokens.groupBy("item_id").agg(F.max(F.struct("n", "w")).alias("t")).select("item_id", "t.n", "t.w"))
-    spots = tokens.select("item_id", "n", F.posexplode("w").alias("ipos", "term"))
-    postings = cut_lineage(corpus_postings(docs, spots.select("term").distinct(), doc_id, text))
-    counts = postings.groupBy("term").agg(F.count("*").alias("df"))
+    n_terms = tokens.select(F.explode("w")).distinct().count()
+    passes = max(1, -(-n_terms // TERMS_PER_PASS))
+    parts = [_leaks_of(docs, tokens.where(F.pmod(F.hash("item_id"), F.lit(passes)) == k) if passes > 1 else tokens, doc_id, text, share) for k in range(passes)]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+def _leaks_of(docs: DataFrame, tokens: DataFrame, doc_id: str, text: str, share: float) -> DataFrame:
+    spark = docs.sparkSession
+    words = sorted(r.w for r in tokens.select(F.explode("w").alias("w")).distinct().collect())  # bounded by the pass
+    vocabulary = {w: i for i, w in enumerate(words)}
+    numbers = spark.createDataFrame(pd.DataFrame({"word": words, "term": range(len(words))}), "word string, term int")
+    spots = tokens.select("item_id", "n", F.posexplode("w").alias("ipos", "word")).join(F.broadcast(numbers), "word").drop("word")
+    index = cut_lineage(_index(docs, vocabulary, doc_id, text))
+    counts = index.select(F.explode("term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("df", F.lit(0)), "ipos"))
     half = F.ceil(F.col("n") * F.lit(share)).cast("int")
     k = F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(0.1)).cast("int"))
@@ -120,27 +154,30 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     # Bands are one item long and start every half item, so any run of half an item's drift lies in one.
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 2)).cast("int")
     band = F.floor((F.col("pos") - F.col("ipos")) / step).cast("int")
+    postings = index.select("doc_id", F.explode(F.arrays_zip("pos", "term")).alias("p")).select("doc_id", "p.pos", "p.term")
     hits = postings.join(broadcast_if_small(rare), "term").select("doc_id", "item_id", "n", "need", "bit", F.explode(F.array(band, band - 1)).alias("band"))
     one = lambda low: F.bit_or(F.when((F.col("bit") >= low) & (F.col("bit") < low + 64), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") - low)).otherwise(F.lit(0).cast("long")))
     found = (
-        hits.groupBy("doc_id", "item_id", "band").agg(F.first("n").alias("n"), F.first("need").alias("need"), one(0).alias("b0"), one(64).alias("b1"))
+        hits.groupBy("doc_id", "item_id", "n", "need", "band").agg(one(0).alias("b0"), one(64).alias("b1"))
         .where(F.bit_count("b0") + F.bit_count("b1") >= F.col("need"))
         .withColumn("lo", F.col("band") * step)
         .withColumn("hi", F.col("lo") + 2 * step + F.col("n"))
         .select("doc_id", "item_id", "band", "n", "lo", "hi")
     )
     found = cut_lineage(found)
-    windows = (
-        found.join(postings, "doc_id").where((F.col("pos") >= F.col("lo")) & (F.col("pos") < F.col("hi")))
-        .groupBy("doc_id", "item_id", "band", "lo").agg(F.collect_set(F.struct("pos", "term")).alias("hits"))
-        .join(broadcast_if_small(tokens), "item_id")
-    )
+    # Only candidates' postings move: cut to the band before they are brought together with the item.
+    near = index.join(broadcast_if_small(found.select("doc_id").distinct()), "doc_id", "left_semi").join(found, "doc_id")
+    # A hit travels as one long, position above term: arrays of structs would become dicts in Python.
+    packed = F.zip_with("pos", "term", lambda p, t: p.cast("long") * F.lit(1 << 31) + t)
+    cut = F.filter(packed, lambda h: (h >= F.col("lo").cast("long") * F.lit(1 << 31)) & (h < F.col("hi").cast("long") * F.lit(1 << 31)))
+    coded = spots.groupBy("item_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ipos", "term"))), lambda x: x["term"]).alias("w"))
+    windows = near.select("doc_id", "item_id", "n", "lo", cut.alias("hits")).join(broadcast_if_small(coded), "item_id")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc, item, low, n, words, hits in zip(*(batch[c] for c in ("doc_id", "item_id", "lo", "n", "w", "hits"))):
-                words, hits = list(words), [(h["pos"], h["term"]) for h in hits]
+                words, hits = words.tolist(), list(zip((hits >> 31).tolist(), (hits & 0x7FFFFFFF).tolist()))
                 matched = common_subsequence(words, hits, low, low + 2 * max(1, n // 2))
                 if matched >= n * share:
                     rows.append((doc, item, matched, n, matched == n and _contiguous(words, hits)))
@@ -151,6 +188,6 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     return rows.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("n_words").alias("n_words"), F.max("exact").alias("exact"))
 
 
-def _contiguous(words: list[str], hits: list[tuple[int, str]]) -> bool:
+def _contiguous(words: list, hits: list[tuple[int, object]]) -> bool:
     at = dict(hits)
     return any(all(at.get(p + i) == w for i, w in enumerate(words)) for p, t in hits if t == words[0])
