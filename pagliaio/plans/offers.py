@@ -94,11 +94,11 @@ def flt_02(spark, d):
     return listings(spark, d, "agency_name", "caption", "description").select("rec", F.coalesce("agency_name", F.lit("")).rlike(AUCTION).alias("by_name"), text.rlike(AUCTION_TEXT).alias("by_text"))
 
 
-@plan.query("flt_03", rf"WITH {LISTINGS} SELECT DISTINCT lower(trim(agency_name)) AS seller, lower(trim(agency_name)) IN ('astissima', 'professione aste') OR regexp_matches(lower(trim(agency_name)), '{AUCTION}') AS reseller FROM l WHERE agency_name IS NOT NULL")
+@plan.query("flt_03", rf"WITH {LISTINGS} SELECT DISTINCT lower(trim(agency_name)) AS seller, lower(trim(agency_name)) IN ('immobil sorl', 'ottava porta') OR regexp_matches(lower(trim(agency_name)), '{AUCTION}') AS reseller FROM l WHERE agency_name IS NOT NULL")
 def flt_03(spark, d):
     """Sellers that resell auctions: a fixed set of names or a word of the name."""
     name = F.lower(F.trim("agency_name"))
-    return listings(spark, d, "agency_name").where(F.col("agency_name").isNotNull()).select(name.alias("seller"), (name.isin("astissima", "professione aste") | name.rlike(AUCTION)).alias("reseller")).distinct()
+    return listings(spark, d, "agency_name").where(F.col("agency_name").isNotNull()).select(name.alias("seller"), (name.isin("immobil sorl", "ottava porta") | name.rlike(AUCTION)).alias("reseller")).distinct()
 
 
 @plan.query(
