@@ -88,7 +88,12 @@ def _encoded(groups: list[str]):
 
 def _values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     v = F.col(value).cast("double")
-    return df.select(*groups, v.alias("v")).where(v.isNotNull() & ~F.isnan(v)).withColumn("g", _encoded(groups))
+    return df.select(_encoded(groups).alias("g"), v.alias("v"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(groups)]).where("v IS NOT NULL AND NOT isnan(v)")
+
+
+def _sizes(data: DataFrame, groups: list[str]) -> tuple[DataFrame, list[str]]:
+    keys = [f"k{i}" for i in range(len(groups))]
+    return cut_lineage(data.groupBy("g").agg(F.count("*").alias("n"), *[F.first(k).alias(k) for k in keys])), keys
 
 
 def exact_percentiles(df: DataFrame, groups: list[str], value: str, quantiles: list[float]) -> DataFrame:
@@ -98,28 +103,28 @@ def exact_percentiles(df: DataFrame, groups: list[str], value: str, quantiles: l
     group like others. Values are compared as doubles.
     """
     data = cut_lineage(_values(df, groups, value))
-    sizes = cut_lineage(data.groupBy("g").agg(F.count("*").alias("n"), *[F.first(c).alias(f"k_{c}") for c in groups]))
-    wanted = sizes.select("g", "n", *[f"k_{c}" for c in groups], F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q"))
+    sizes, keys = _sizes(data, groups)
+    wanted = sizes.select("g", "n", *keys, F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q"))
     wanted = wanted.withColumn("pos", (F.col("n") - 1) * F.col("q")).withColumn("lo", F.floor("pos").cast("long")).withColumn("hi", F.ceil("pos").cast("long"))
     targets = wanted.select("g", F.explode(F.array("lo", "hi")).alias("rank"))
     found = multi_select(data.select("g", "v"), targets)
     low = found.select("g", F.col("rank").alias("lo"), F.col("value").alias("v_lo"))
     high = found.select("g", F.col("rank").alias("hi"), F.col("value").alias("v_hi"))
     value_ = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))
-    return wanted.join(low, ["g", "lo"]).join(high, ["g", "hi"]).select(*[F.col(f"k_{c}").alias(c) for c in groups], "q", value_.alias("value"), "n")
+    return wanted.join(low, ["g", "lo"]).join(high, ["g", "hi"]).select(*[F.col(k).alias(c) for k, c in zip(keys, groups)], "q", value_.alias("value"), "n")
 
 
 def summarize(df: DataFrame, groups: list[str], value: str, error: float = 0.01) -> DataFrame:
     """``groups..., value, weight``: a mergeable summary, ``1/error`` exact order statistics per group with the rows each stands for."""
     step = int(round(1 / error))
     data = cut_lineage(_values(df, groups, value))
-    sizes = cut_lineage(data.groupBy("g").agg(F.count("*").alias("n"), *[F.first(c).alias(f"k_{c}") for c in groups]))
+    sizes, keys = _sizes(data, groups)
     # Point j stands for the ranks up to end_j = ceil(j * n / step); small groups keep every value.
     ends = sizes.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(step)))).withColumn("end", F.ceil(F.col("j") * F.col("n") / step).cast("long"))
-    ends = ends.groupBy("g", "end").agg(F.first("n").alias("n"), *[F.first(f"k_{c}").alias(f"k_{c}") for c in groups])
+    ends = ends.groupBy("g", "end").agg(F.first("n").alias("n"), *[F.first(k).alias(k) for k in keys])
     ends = ends.withColumn("weight", F.col("end") - F.coalesce(F.lag("end").over(Window.partitionBy("g").orderBy("end")), F.lit(0)))
     found = multi_select(data.select("g", "v"), ends.select("g", (F.col("end") - 1).alias("rank")))
-    return ends.withColumn("rank", F.col("end") - 1).join(found, ["g", "rank"]).select(*[F.col(f"k_{c}").alias(c) for c in groups], "value", "weight")
+    return ends.withColumn("rank", F.col("end") - 1).join(found, ["g", "rank"]).select(*[F.col(k).alias(c) for k, c in zip(keys, groups)], "value", "weight")
 
 
 def merge_summaries(summaries: DataFrame, groups: list[str], quantiles: list[float]) -> DataFrame:

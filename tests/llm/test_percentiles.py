@@ -24,6 +24,8 @@ def test_percentiles_with_nulls_and_clashing_names(spark):
     df = spark.createDataFrame(rows, "node string, g double").selectExpr("node", "g", "1 as v", "2 as rank", "3 as n")
     got = {(r.node, r.q): (r.value, r["n"]) for r in exact_percentiles(df, ["node"], "g", [0.0, 0.5]).collect()}
     assert got == {("a", 0.0): (1.0, 2), ("a", 0.5): (2.5, 2), (None, 0.0): (7.0, 1), (None, 0.5): (7.0, 1)}
+    clash = {(r.v, r.value) for r in exact_percentiles(df, ["v", "rank"], "g", [0.0]).collect()}
+    assert clash == {(1, 1.0)}
     assert exact_percentiles(df.where("false"), ["node"], "g", [0.5]).collect() == []
 
 
