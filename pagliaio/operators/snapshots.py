@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagliaio.session import cut_lineage
+
 
 def row_hash(columns: list[str]) -> Column:
     """Canonical 64-bit hash of a row: NULL differs from every value, columns don't run together."""
@@ -28,14 +30,15 @@ def snapshot_changes(
     to no snapshot and are left out. An empty input gives an empty result. Columns
     of the input other than those named are not read, so their names can't clash.
     """
-    latest = (
+    # One scan and one aggregation: keys and hashes are written once, both sides and the calendar read them.
+    latest = cut_lineage(
         sightings.where(F.col(run).isNotNull())
         .select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], F.col(run).alias("run"), F.col(at).alias("at"), row_hash(values).alias("h"), F.struct(*values).alias("v"))
         .groupBy(*[f"k{i}" for i in range(len(key))], "run")
         .agg(F.max_by("h", F.struct("at", "v")).alias("h"))
     )
     # One row per run: bounded by the number of runs, not by the data.
-    runs = sightings.where(F.col(run).isNotNull()).select(F.col(run).alias("run")).distinct()
+    runs = latest.select("run").distinct()
     calendar = runs.groupBy().agg(F.array_sort(F.collect_set("run")).alias("r")).select(
         F.explode(F.arrays_zip(F.slice(F.col("r"), 1, F.greatest(F.size("r") - 1, F.lit(0))).alias("run"), F.slice(F.col("r"), 2, F.size("r")).alias("next"))).alias("c")
     ).select("c.run", "c.next")
