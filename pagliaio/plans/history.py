@@ -42,8 +42,7 @@ def cdc_02(spark, d):
 def cdc_03(spark, d):
     """Listings that the latest run no longer has."""
     x = seen(spark, d).groupBy("rec").agg(F.max(utc_date_text(F.col("at"))).alias("last_run"))
-    latest = x.agg(F.max("last_run").alias("m"))
-    return x.join(F.broadcast(latest), F.col("last_run") < F.col("m")).select("rec", "last_run")  # one row
+    return x.where(F.col("last_run") < x.agg(F.max("last_run").alias("m")).scalar())
 
 
 @plan.query("cdc_04", f"WITH {SEEN}, e AS (SELECT rec, us, price, lag(price) OVER (PARTITION BY rec ORDER BY us) AS prev FROM s) SELECT rec, us, price - prev AS step FROM e WHERE price <> prev AND us >= 1769900000000000")
@@ -71,8 +70,8 @@ def cdc_07(spark, d):
     """Extension: lifecycle by the number of runs missed."""
     k = seen(spark, d).select("rec", utc_date_text(F.col("at")).alias("run")).distinct()
     c = k.select("run").distinct().withColumn("no", F.row_number().over(W.orderBy("run")).cast("long"))  # one row a run
-    last = c.agg(F.max("no").alias("m"))
-    x = k.join(F.broadcast(c), "run").groupBy("rec").agg(F.max("no").alias("last_no"), F.count("*").alias("runs")).crossJoin(F.broadcast(last))
+    x = k.join(F.broadcast(c), "run").groupBy("rec").agg(F.max("no").alias("last_no"), F.count("*").alias("runs"))
+    x = x.withColumn("m", c.agg(F.max("no").alias("m")).scalar())
     missed = F.col("m") - F.col("last_no")
     return x.select("rec", "runs", missed.alias("missed"), F.when(missed == 0, "active").when(missed == 1, "absent").when(missed < 4, "delisted").otherwise("archived").alias("state"))
 
@@ -119,9 +118,9 @@ def snk_05(spark, d):
 def snk_09(spark, d):
     """Sitemap rows: unique sorted links with the row's date, else the corpus date."""
     rows = listings(spark, d, "url", "last_seen", "fetched_at")
-    corpus = rows.agg(F.left(F.max("fetched_at"), F.lit(10)).alias("c"))
+    corpus = rows.agg(F.left(F.max("fetched_at"), F.lit(10)).alias("c")).scalar()
     per = rows.groupBy("url").agg(F.max(F.left("last_seen", F.lit(10))).alias("m"))
-    return per.crossJoin(F.broadcast(corpus)).select("url", F.coalesce("m", "c").alias("lastmod")).orderBy("url")  # one row
+    return per.select("url", F.coalesce("m", corpus).alias("lastmod")).orderBy("url")
 
 
 @plan.query("win_01", f"WITH {LISTINGS} SELECT rec, price FROM l WHERE price > 0 ORDER BY price DESC, rec LIMIT 10")

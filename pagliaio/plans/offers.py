@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagliaio.functions.numbers import digits_joined, first_whole, italian_decimal, relative_to_first, relative_to_max, relative_to_min
 from pagliaio.functions.text import area_key, hash_bits, plain_url, public_street, slug, street_bare, street_joined, tail_ref, type_class
-from pagliaio.functions.text import STREET_WORDS, TYPE_SYNONYMS, _ACCENTED, _PLAIN
+from pagliaio.functions.text import HOUSE_NUMBER, STREET_WORDS, TYPE_SYNONYMS, _ACCENTED, _PLAIN
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
 from pagliaio.tables import load
 
@@ -16,6 +16,7 @@ QUERIES, SQL = plan.queries, plan.sql
 FOLD = lambda c: f"translate({c}, '{_ACCENTED}', '{_PLAIN}')"
 AREA = lambda c: f"regexp_replace(lower({FOLD(f'coalesce({c}, chr(0))')}), '[^a-z0-9]', '', 'g')"
 URL = lambda c: f"regexp_replace(regexp_replace(regexp_replace(lower({c}), '^https?://(www[.])?', ''), '[?#].*$', ''), '/+$', '')"
+# Words by which auctions are known.
 AUCTION = r"(?i)\b(aste|asta)\b"
 AUCTION_TEXT = r"(?i)asta (giudiziari|telematic)|vendita giudiziari|procedura esecutiva|tribunale di"
 
@@ -221,7 +222,7 @@ def str_05(spark, d):
 
 _STREET6 = "regexp_replace(trim(regexp_replace(coalesce(address_raw, ''), '[ \t\r\n]+', ' ', 'g')), '[ ]*[;,].*$', '')"
 for _ in range(4):
-    _STREET6 = f"regexp_replace({_STREET6}, '(?i) +(n[.]? *[0-9]+[a-z]?( */ *[a-z0-9]+)?|snc|[0-9]+ *[/-] *[a-z0-9]+|[0-9]+ *[a-z]?)$', '')"
+    _STREET6 = f"regexp_replace({_STREET6}, '{HOUSE_NUMBER}', '')"
     _STREET6 = f"regexp_replace({_STREET6}, '^[ ,;-]+|[ ,;-]+$', '', 'g')"
 
 
@@ -392,8 +393,8 @@ def dat_02(spark, d):
 def dat_05(spark, d):
     """Row date, else the date of the corpus."""
     rows = listings(spark, d, "last_seen", "fetched_at")
-    corpus = rows.agg(F.left(F.max("fetched_at"), F.lit(10)).alias("c"))
-    return rows.crossJoin(F.broadcast(corpus)).select("rec", F.coalesce(F.left("last_seen", F.lit(10)), "c").alias("lastmod"))  # one row
+    corpus = rows.agg(F.left(F.max("fetched_at"), F.lit(10)).alias("c")).scalar()
+    return rows.select("rec", F.coalesce(F.left("last_seen", F.lit(10)), corpus).alias("lastmod"))
 
 
 @plan.query("arr_01", f"WITH {LISTINGS} SELECT rec, CASE WHEN photo_ids IS NULL OR photo_ids IN ('', '[]') THEN 0 ELSE len(CAST(TRY_CAST(photo_ids AS JSON) AS VARCHAR[])) END AS n FROM l")

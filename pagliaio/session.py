@@ -18,6 +18,7 @@ def build_session(app: str = "pagliaio", master: str | None = None, **conf: str)
         "spark.sql.shuffle.partitions": cpus,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "12g",
+        "spark.checkpoint.compress": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
