@@ -15,7 +15,7 @@ QUERIES, SQL = plan.queries, plan.sql
 @plan.query("ext_q1", f"SELECT l_returnflag, l_linestatus, {half_up_sql('sum(l_quantity)', 2)} AS sum_qty, {half_up_sql('sum(l_extendedprice * (1 - l_discount))', 0)} AS revenue, {half_up_sql('avg(l_discount)', 4)} AS avg_disc, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL")
 def ext_q1(spark, d):
     """Pricing summary."""
-    li = load(spark, d, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp"))
+    li = load(spark, d, "lineitem").where(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return li.groupBy("l_returnflag", "l_linestatus").agg(half_up(F.sum("l_quantity"), 2).alias("sum_qty"), half_up(F.sum(net), 0).alias("revenue"), half_up(F.avg("l_discount"), 4).alias("avg_disc"), F.count("*").alias("n"))
 
@@ -23,7 +23,7 @@ def ext_q1(spark, d):
 @plan.query("ext_q3", f"SELECT l_orderkey, {half_up_sql('sum(l_extendedprice * (1 - l_discount))', 1)} AS revenue, o_orderdate FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE c_mktsegment = 'BUILDING' AND o_orderdate < TIMESTAMP '1995-03-15' AND l_shipdate > TIMESTAMP '1995-03-15' GROUP BY l_orderkey, o_orderdate ORDER BY revenue DESC, l_orderkey LIMIT 10")
 def ext_q3(spark, d):
     """Shipping priority: top ten orders."""
-    day = F.lit("1995-03-15").cast("timestamp")
+    day = F.lit("1995-03-15").cast("timestamp_ntz")
     c = load(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey")
     o = load(spark, d, "orders").where(F.col("o_orderdate") < day).select("o_orderkey", "o_custkey", "o_orderdate")
     li = load(spark, d, "lineitem").where(F.col("l_shipdate") > day).select("l_orderkey", "l_extendedprice", "l_discount")
@@ -46,7 +46,7 @@ def ext_q5(spark, d):
 @plan.query("ext_q6", f"SELECT {half_up_sql('sum(l_extendedprice * l_discount)', 1)} AS revenue FROM lineitem WHERE l_shipdate >= TIMESTAMP '1994-01-01' AND l_shipdate < TIMESTAMP '1995-01-01' AND l_discount BETWEEN 0.05 AND 0.07 AND l_quantity < 24")
 def ext_q6(spark, d):
     """Forecast of revenue change: all filters reach the scan."""
-    li = load(spark, d, "lineitem").where("l_shipdate >= TIMESTAMP '1994-01-01' AND l_shipdate < TIMESTAMP '1995-01-01' AND l_discount BETWEEN 0.05D AND 0.07D AND l_quantity < 24")
+    li = load(spark, d, "lineitem").where("l_shipdate >= TIMESTAMP_NTZ '1994-01-01' AND l_shipdate < TIMESTAMP_NTZ '1995-01-01' AND l_discount BETWEEN 0.05D AND 0.07D AND l_quantity < 24")
     return li.agg(half_up(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 1).alias("revenue"))
 
 
