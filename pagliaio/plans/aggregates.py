@@ -97,7 +97,7 @@ _DIFF = f"{_MEMBERS}, x AS (SELECT cluster, count(*) AS n, min(price) FILTER (pr
 
 
 def members(spark, d, *columns):
-    return clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, *columns), "rec")
+    return clusters(spark, d).join(listings(spark, d, *columns), "rec")
 
 
 def differences(spark, d):

@@ -101,13 +101,19 @@ def joi_04(spark, d):
       AND CASE WHEN a.street IS NULL OR b.street IS NULL THEN a.k <= 2 ELSE contains(a.street, b.street) OR contains(b.street, a.street) END""",
 )
 def joi_05(spark, d):
-    """Equal price and close size by different sellers; streets must not contradict, or the price must be rare."""
-    o = offers(spark, d).where("price > 0").drop("ref").withColumn("k", F.count("*").over(W.partitionBy("area", "price")))
-    a, b = o.where("mq > 0").alias("a"), o.where("mq > 0").alias("b")
+    """Equal price and close size by different sellers; streets must not contradict, or the price must be rare.
+
+    Sizes within 15 per cent lie in one band of that width or in neighbouring ones, so
+    the band joins the key: a common price is not compared all against all.
+    """
+    o = offers(spark, d).where("price > 0").drop("ref")
+    rare = o.groupBy("area", "price").agg(F.count("*").alias("k"))
+    o = o.where("mq > 0").join(rare, ["area", "price"]).withColumn("band", F.floor(F.log("mq") / F.log(F.lit(1.15))))
+    a, b = o.alias("a"), o.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("b")
     x = lambda side, c: F.col(f"{side}.{c}")
     close = (F.greatest("a.mq", "b.mq") - F.least("a.mq", "b.mq")).cast("double") / F.least("a.mq", "b.mq") <= 0.15
     street = F.when(x("a", "street").isNull() | x("b", "street").isNull(), x("a", "k") <= 2).otherwise(F.contains("a.street", "b.street") | F.contains("b.street", "a.street"))
-    on = (x("a", "area") == x("b", "area")) & (x("a", "price") == x("b", "price")) & (x("a", "rec") < x("b", "rec")) & (x("a", "seller") != x("b", "seller"))
+    on = (x("a", "area") == x("b", "area")) & (x("a", "price") == x("b", "price")) & (x("a", "band") == x("b", "band")) & (x("a", "rec") < x("b", "rec")) & (x("a", "seller") != x("b", "seller"))
     return a.join(b, on).where(close & street).select(x("a", "rec").alias("rec_a"), x("b", "rec").alias("rec_b"))
 
 
@@ -243,8 +249,8 @@ _CLUSTERS = "k AS (SELECT url_alt AS cluster, list_sort(list(DISTINCT source ||
 
 
 def clusters(spark, d):
-    """Listings linked to one page, as sorted arrays."""
-    return load(spark, d, "url_alt").groupBy(F.col("url_alt").alias("cluster")).agg(F.array_sort(F.collect_set(rec_name())).alias("members"))
+    """``cluster, rec``: the listings linked to one page; never collected, however many they are."""
+    return load(spark, d, "url_alt").select(F.col("url_alt").alias("cluster"), rec_name().alias("rec")).distinct()
 
 
 @plan.query(
@@ -257,12 +263,12 @@ def joi_13(spark, d):
     """Verdicts laid over clusters: containment either way rejects, only a whole cluster is confirmed; the first entry wins."""
     k = clusters(spark, d)
     v = load(spark, d, "verified_clusters").select("ord", "verdict", F.array_distinct("ids").alias("ids"), F.coalesce("drop_ids", F.array().cast("array<string>")).alias("drop_ids"))
-    # Sets that contain each other share a member: candidates meet on it.
-    pairs = k.select("cluster", F.explode("members").alias("m")).join(v.select("ord", F.explode("ids").alias("m")), "m").select("cluster", "ord").distinct()
-    j = pairs.join(k, "cluster").join(v, "ord")
-    inside = lambda a, b: F.size(F.array_except(a, b)) == 0
-    hit = inside("members", "ids") | ((F.col("verdict") != "confirmed") & inside("ids", "members"))
-    return j.where(hit).groupBy("cluster").agg(F.min_by("verdict", "ord").alias("verdict"), F.min_by(F.size(F.array_except("members", "drop_ids")), "ord").alias("kept"))
+    # Sets that contain each other share a member: they meet on it, and the shared members are counted.
+    e = v.select("ord", "verdict", F.size("ids").alias("n_ids"), F.explode("ids").alias("rec"), F.array_contains("drop_ids", F.col("rec")).alias("drop"))
+    sizes = k.groupBy("cluster").agg(F.count("*").alias("n"))
+    shared = k.join(e, "rec").groupBy("cluster", "ord", "verdict", "n_ids").agg(F.count("*").alias("both"), F.count_if("drop").alias("dropped")).join(sizes, "cluster")
+    hit = (F.col("both") == F.col("n")) | ((F.col("verdict") != "confirmed") & (F.col("both") == F.col("n_ids")))
+    return shared.where(hit).groupBy("cluster").agg(F.min_by("verdict", "ord").alias("verdict"), F.min_by((F.col("n") - F.col("dropped")).cast("int"), "ord").alias("kept"))
 
 
 @plan.query("joi_14", f"WITH {LISTINGS}, f AS (SELECT DISTINCT unnest(ids) AS rec FROM verified_clusters WHERE verdict = 'confirmed'), c AS (SELECT DISTINCT source || '/' || source_id AS rec FROM url_alt) SELECT rec, CASE WHEN rec IN (SELECT rec FROM f) THEN 'member' WHEN rec IN (SELECT rec FROM c) THEN 'candidate' ELSE 'none' END AS role FROM l")
@@ -325,7 +331,7 @@ def joi_19(spark, d):
 @plan.query("joi_20", f"WITH {LISTINGS}, {_CLUSTERS}, m AS (SELECT cluster, unnest(members) AS rec FROM k) SELECT cluster, rec, price, row_number() OVER (PARTITION BY cluster ORDER BY coalesce(price, 0) DESC, rec) AS place FROM m JOIN l USING (rec)")
 def joi_20(spark, d):
     """Members of each cluster with their details, dearest first."""
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "price"), "rec")
+    m = clusters(spark, d).join(listings(spark, d, "price"), "rec")
     return m.select("cluster", "rec", "price", F.row_number().over(W.partitionBy("cluster").orderBy(F.coalesce("price", F.lit(0)).desc(), "rec")).alias("place"))
 
 
@@ -366,11 +372,14 @@ def grf_02(spark, d):
 )
 def grf_03(spark, d):
     """Coherence of a cluster: sizes near the upper median, hardly more members than sellers."""
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "mq", "agency_name"), "rec")
-    a = m.groupBy("cluster").agg(F.count("*").alias("n"), F.countDistinct(F.coalesce("agency_name", "source")).alias("sellers"), F.array_sort(F.collect_list(F.when(F.col("mq") > 0, F.col("mq")))).alias("s"))
-    med = F.element_at("s", F.floor(F.size("s") / 2).cast("int") + 1).cast("double")
-    near = (F.element_at("s", -1) / med <= 1.35) & (med / F.element_at("s", 1) <= 1.35)
-    return a.select("cluster", "n", "sellers", ((F.col("n") <= F.col("sellers") + 1) & F.when(F.size("s") <= 2, True).otherwise(near)).alias("coherent"))
+    m = clusters(spark, d).join(listings(spark, d, "mq", "agency_name"), "rec")
+    size = F.when(F.col("mq") > 0, F.col("mq").cast("double"))
+    # The upper median is the discrete median from above.
+    a = m.withColumn("s", size).groupBy("cluster").agg(
+        F.count("*").alias("n"), F.countDistinct(F.coalesce("agency_name", "source")).alias("sellers"), F.count("s").alias("sized"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY s DESC)").alias("med")
+    )
+    near = (F.col("hi") / F.col("med") <= 1.35) & (F.col("med") / F.col("lo") <= 1.35)
+    return a.select("cluster", "n", "sellers", ((F.col("n") <= F.col("sellers") + 1) & F.when(F.col("sized") <= 2, True).otherwise(near)).alias("coherent"))
 
 
 @plan.query("grf_04")
@@ -399,7 +408,7 @@ def grf_07(spark, d):
 @plan.query("grf_08", f"WITH {LISTINGS}, {_CLUSTERS}, m AS (SELECT cluster, unnest(members) AS rec FROM k), f AS (SELECT cluster, rec, (price IS NOT NULL)::INT + (mq IS NOT NULL)::INT + (vani IS NOT NULL)::INT + (address_raw IS NOT NULL)::INT + (floor IS NOT NULL)::INT AS filled FROM m JOIN l USING (rec)) SELECT cluster, rec AS canonical, filled FROM f QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY filled DESC, rec) = 1")
 def grf_08(spark, d):
     """The most complete record of each cluster, ties by name."""
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "price", "mq", "vani", "address_raw", "floor"), "rec")
+    m = clusters(spark, d).join(listings(spark, d, "price", "mq", "vani", "address_raw", "floor"), "rec")
     filled = sum((F.col(c).isNotNull().cast("int") for c in ("price", "mq", "vani", "address_raw", "floor")), F.lit(0))
     best = m.groupBy("cluster").agg(F.min(F.struct((-filled).alias("k"), "rec")).alias("b"))
     return best.select("cluster", F.col("b.rec").alias("canonical"), (-F.col("b.k")).alias("filled"))
@@ -408,7 +417,7 @@ def grf_08(spark, d):
 @plan.query("grf_09", f"WITH {LISTINGS}, {_CLUSTERS}, m AS (SELECT cluster, coalesce(lower(agency_name), '__' || source) AS seller, price, mq, typology FROM (SELECT cluster, unnest(members) AS rec FROM k) JOIN l USING (rec)) SELECT cluster, seller, count(*) AS n, count(DISTINCT price) > 1 AS price_conflict, count(DISTINCT mq) > 1 AS size_conflict, count(DISTINCT typology) > 1 AS type_conflict FROM m GROUP BY ALL")
 def grf_09(spark, d):
     """Sellers of a cluster and where they contradict themselves."""
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "agency_name", "price", "mq", "typology"), "rec")
+    m = clusters(spark, d).join(listings(spark, d, "agency_name", "price", "mq", "typology"), "rec")
     seller = F.coalesce(F.lower("agency_name"), F.concat(F.lit("__"), "source"))
     distinct = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False))
     return m.groupBy("cluster", seller.alias("seller")).agg(F.count("*").alias("n"), distinct("price").alias("price_conflict"), distinct("mq").alias("size_conflict"), distinct("typology").alias("type_conflict"))
@@ -417,7 +426,7 @@ def grf_09(spark, d):
 @plan.query("grf_10", f"WITH {LISTINGS}, {_CLUSTERS}, m AS (SELECT cluster, rec, coalesce(lower(agency_name), '__' || source) AS seller, price FROM (SELECT cluster, unnest(members) AS rec FROM k) JOIN l USING (rec)), c AS (SELECT cluster, seller, count(DISTINCT price) > 1 AS split FROM m GROUP BY ALL) SELECT DISTINCT m.cluster, CASE WHEN split THEN m.seller || ':' || m.rec ELSE m.seller END AS claim, CASE WHEN split THEN m.price ELSE max(m.price) OVER (PARTITION BY m.cluster, m.seller) END AS price FROM m JOIN c USING (cluster, seller)")
 def grf_10(spark, d):
     """One claim per seller; a seller that contradicts itself is split by listing."""
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "agency_name", "price"), "rec").withColumn("seller", F.coalesce(F.lower("agency_name"), F.concat(F.lit("__"), "source")))
+    m = clusters(spark, d).join(listings(spark, d, "agency_name", "price"), "rec").withColumn("seller", F.coalesce(F.lower("agency_name"), F.concat(F.lit("__"), "source")))
     w = W.partitionBy("cluster", "seller")
     split = F.coalesce(F.min("price").over(w) != F.max("price").over(w), F.lit(False))
     return m.select("cluster", F.when(split, F.concat("seller", F.lit(":"), "rec")).otherwise(F.col("seller")).alias("claim"), F.when(split, F.col("price")).otherwise(F.max("price").over(w)).alias("price")).distinct()
@@ -425,7 +434,7 @@ def grf_10(spark, d):
 
 @plan.query("grf_11", f"WITH {LISTINGS}, {_CLUSTERS}, m AS (SELECT cluster, coalesce(agency_name, source) AS seller FROM (SELECT cluster, unnest(members) AS rec FROM k) JOIN l USING (rec)) SELECT cluster, count(*) <> count(DISTINCT seller) AS same_seller_twice FROM m GROUP BY cluster")
 def grf_11(spark, d):
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "agency_name"), "rec")
+    m = clusters(spark, d).join(listings(spark, d, "agency_name"), "rec")
     return m.groupBy("cluster").agg((F.count("*") != F.countDistinct(F.coalesce("agency_name", "source"))).alias("same_seller_twice"))
 
 

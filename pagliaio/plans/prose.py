@@ -112,7 +112,7 @@ def dat_04(spark, d):
 @plan.query("win_10", f"WITH {LISTINGS}, {_CLUSTERS}, m AS (SELECT cluster, unnest(members) AS rec FROM k) SELECT cluster, rec, row_number() OVER (PARTITION BY cluster ORDER BY coalesce(price, 0) DESC, coalesce(agency_name, source), rec) AS place FROM m JOIN l USING (rec)")
 def win_10(spark, d):
     """Member order: dearest first, then seller, then name."""
-    m = clusters(spark, d).select("cluster", F.explode("members").alias("rec")).join(listings(spark, d, "price", "agency_name"), "rec")
+    m = clusters(spark, d).join(listings(spark, d, "price", "agency_name"), "rec")
     w = W.partitionBy("cluster").orderBy(F.coalesce("price", F.lit(0)).desc(), F.coalesce("agency_name", "source"), "rec")
     return m.select("cluster", "rec", F.row_number().over(w).alias("place"))
 
