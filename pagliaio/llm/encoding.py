@@ -72,7 +72,8 @@ def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", v
     """
     spark = docs.sparkSession
     raw = spark.sparkContext.broadcast(vocabulary or read_vocabulary())
-    words = cut_lineage(_split(docs, doc_id, text).select("row", "doc", F.posexplode_outer("words").alias("pos", "word")))
+    # Cut before the words are laid out: one row a document, read again for the table and for the positions.
+    words = cut_lineage(_split(docs, doc_id, text)).select("row", "doc", F.posexplode_outer("words").alias("pos", "word"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         piece = _encoder(raw.value)._encode_single_piece
