@@ -224,7 +224,7 @@ def _forward_backward(u: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> tup
     return m / m.sum(axis=2, keepdims=True), expected
 
 
-def train(texts: list[tuple[str, str]], known: Gazetteer, epochs: int = 10, batch: int = 256, rate: float = 0.25) -> tuple[np.ndarray, np.ndarray]:
+def train(texts: list[tuple[str, str]], known: Gazetteer, epochs: int = 6, batch: int = 256, rate: float = 0.25) -> tuple[np.ndarray, np.ndarray]:
     """Token weights [BUCKETS, LABELS] and transitions, by AdaGrad on the chain's log-likelihood."""
     segments = []
     for text, field in texts:
