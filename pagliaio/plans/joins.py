@@ -108,7 +108,7 @@ def joi_05(spark, d):
     """
     o = offers(spark, d).where("price > 0").drop("ref")
     rare = o.groupBy("area", "price").agg(F.count("*").alias("k"))
-    o = o.where("mq > 0").join(rare, ["area", "price"]).withColumn("band", F.floor(F.log("mq") / F.log(F.lit(1.15))))
+    o = o.where("mq > 0").join(rare, ["area", "price"]).withColumn("band", F.floor(F.log("mq") / F.log(F.lit(1.16))))
     a, b = o.alias("a"), o.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("b")
     x = lambda side, c: F.col(f"{side}.{c}")
     close = (F.greatest("a.mq", "b.mq") - F.least("a.mq", "b.mq")).cast("double") / F.least("a.mq", "b.mq") <= 0.15
@@ -295,12 +295,15 @@ def joi_16(spark, d):
     """Five nearest comparables by size in the same area and type.
 
     In size order the five nearest stand among the five before and the five after, so
-    one sort replaces the self-join.
+    one sort replaces the self-join. A quarter's difference stays within one band of
+    the logarithm, so each band is sorted with its two neighbours as context and an
+    area with most of the listings is no single task.
     """
     o = listings(spark, d, "comune", "typology", "mq").where("mq > 0 AND typology IS NOT NULL").select("rec", area_key(F.col("comune")).alias("area"), F.col("typology").alias("typ"), "mq")
-    w = W.partitionBy("area", "typ").orderBy("mq", "rec")
+    o = o.withColumn("own", F.floor(F.log("mq") / F.lit(0.29))).withColumn("band", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)))
+    w = W.partitionBy("area", "typ", "band").orderBy("mq", "rec")
     near = F.array(*[F.struct(f("rec", k).over(w).alias("near"), f("mq", k).over(w).alias("m2"), F.lit(k).alias("step"), F.lit(s * k).alias("side")) for k in range(1, 6) for f, s in ((F.lag, -1), (F.lead, 1))])
-    c = o.withColumn("near", near).select("rec", "mq", F.explode("near").alias("n")).select("rec", "mq", "n.*").where("near IS NOT NULL").withColumn("diff", F.abs(F.col("mq") - F.col("m2"))).where(F.col("diff").cast("double") / F.col("mq") <= 0.25)
+    c = o.withColumn("near", near).where("band = own").select("rec", "mq", F.explode("near").alias("n")).select("rec", "mq", "n.*").where("near IS NOT NULL").withColumn("diff", F.abs(F.col("mq") - F.col("m2"))).where(F.col("diff").cast("double") / F.col("mq") <= 0.25)
     rank = F.row_number().over(W.partitionBy("rec").orderBy("diff", "step", "side"))
     return c.withColumn("rank", rank).where("rank <= 5").select("rec", "near", "diff")
 
