@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,9 +49,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    """Write ``df`` to the shared checkpoint folder and read on from there.
+
+    A checkpointed frame keeps the size estimate of the plan it came from; in loops
+    of joins these estimates multiply round by round until planning stalls. The rows
+    are therefore wrapped anew, without an estimate.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    done = df.checkpoint(eager=eager)
+    try:
+        bare = spark._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False)
+    except (AttributeError, Py4JError):
+        return done
+    return type(done)(bare, spark)
 
 
 def shuffle_width(spark: SparkSession) -> int:
