@@ -25,10 +25,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagliaio.session import cut_lineage, shuffle_width
+from pagliaio.session import cut_lineage
 
-#: Edges a cell is sized for; the grid grows with the number of edges.
-EDGES_PER_CELL = 2_000_000
+#: Edges a cell is sized for; the grid grows with the number of edges and shrinks with the rounds.
+#: The last rounds, with fewer edges than this, are one cell.
+EDGES_PER_CELL = 250_000
 
 
 def _order_key(col: str):
@@ -68,7 +69,7 @@ def _local_union_find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
         yield pd.DataFrame({"x": [names[i] for i in part], "r": [names[find(i)] for i in part]})
 
 
-def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60) -> DataFrame:
+def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60, edges_per_cell: int | None = None) -> DataFrame:
     """``member, group_id``: every linked vertex with the least member of its group.
 
     Edges may repeat, loop and run in either direction. Rows with a NULL end link
@@ -78,7 +79,6 @@ def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_ro
     is spread over a whole row of the grid by its partners' blocks.
     """
     spark = edges.sparkSession
-    width = shuffle_width(spark)
     current = cut_lineage(
         edges.select(F.col(left).cast("string").alias("a"), F.col(right).cast("string").alias("b"))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
@@ -90,7 +90,7 @@ def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_ro
     while count:
         if len(parents) == max_rounds:
             raise RuntimeError(f"parents are not stable after {max_rounds} rounds")
-        blocks = max(2, math.ceil(math.sqrt(max(count / EDGES_PER_CELL, width))))
+        blocks = math.ceil(math.sqrt(count / (edges_per_cell or EDGES_PER_CELL)))
         cells = current.repartition(blocks * blocks, F.pmod(F.hash("u"), F.lit(blocks)), F.pmod(F.hash("v"), F.lit(blocks)))
         local = cut_lineage(cells.mapInPandas(_local_union_find, "x string, r string"))
         best = cut_lineage(local.groupBy("x").agg(F.min("r").alias("p")))

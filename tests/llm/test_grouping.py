@@ -22,9 +22,9 @@ def brute(edges):
     return {x: find(x) for x in parent}
 
 
-def groups(spark, edges):
+def groups(spark, edges, cell=None):
     df = spark.createDataFrame(edges, "u string, v string, member string, x int")
-    return {r.member: r.group_id for r in connected_groups(df).collect()}
+    return {r.member: r.group_id for r in connected_groups(df, edges_per_cell=cell).collect()}
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -34,8 +34,8 @@ def test_random_graphs_chains_and_hubs(spark, seed):
     edges += [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(80)]  # a chain in sorted order
     edges += [("hub", f"h{i}") for i in range(60)]
     edges += [(None, "a"), ("a", None), ("loop", "loop")] + edges[:10]
-    got = groups(spark, [(u, v, "clash", 1) for u, v in edges])
-    assert got == brute(edges)
+    rows = [(u, v, "clash", 1) for u, v in edges]
+    assert groups(spark, rows) == groups(spark, rows, cell=20) == brute(edges)
 
 
 def test_empty_and_loops_only(spark):
