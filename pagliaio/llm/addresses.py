@@ -111,6 +111,16 @@ class Gazetteer:
         return ""
 
 
+def address_comune(raw: str | None, gazetteer: "Gazetteer") -> str:
+    """The comune that an address names or that its postcode belongs to, or the empty string."""
+    if not raw or not raw.strip():
+        return ""
+    found = split_address(raw, "", gazetteer)
+    if found:
+        return found[0]
+    return gazetteer.postcodes.get(next(iter(_POSTCODE.findall(raw)), ""), "") or gazetteer.find(raw)
+
+
 def split_address(raw: str, comune: str, gazetteer: "Gazetteer") -> tuple[str, str, str, str, tuple[str, ...]] | None:
     """(comune, number, suffix, street type, street words), number and comune empty where missing; None without a street.
 
@@ -279,12 +289,8 @@ def minhash_bands(word: str) -> list[int]:
     return [int(x) for x in (mixed + np.arange(BANDS, dtype=np.uint64)).view(np.int64)]
 
 
-def parse_addresses(listings: DataFrame) -> DataFrame:
-    """``rec, place``: the parsed address of every listing that has a street and a house number.
-
-    ``listings`` needs rec, comune, address_raw and, to find a missing comune, zona_raw, title and caption.
-    """
-    spark = listings.sparkSession
+def known_places(listings: DataFrame) -> Gazetteer:
+    """The comuni of the listings, and for each postcode of their addresses the comune that it stands with most often."""
     named = listings.where(F.col("comune").isNotNull()).groupBy("comune").count()
     if not small_enough(named):
         raise ValueError("more different comune spellings than a country can have")
@@ -295,7 +301,15 @@ def parse_addresses(listings: DataFrame) -> DataFrame:
         .groupBy("code", "comune").count().groupBy("code").agg(F.max_by("comune", F.struct("count", "comune")).alias("comune"))
     )
     # A country has fewer postcodes than 100,000.
-    gazetteer = spark.sparkContext.broadcast(Gazetteer(names, {r.code: comune_name(r.comune) for r in codes.limit(100_000).collect()}))
+    return Gazetteer(names, {r.code: comune_name(r.comune) for r in codes.limit(100_000).collect()})
+
+
+def parse_addresses(listings: DataFrame) -> DataFrame:
+    """``rec, place``: the parsed address of every listing that has a street and a house number.
+
+    ``listings`` needs rec, comune, address_raw and, to find a missing comune, zona_raw, title and caption.
+    """
+    gazetteer = listings.sparkSession.sparkContext.broadcast(known_places(listings))
 
     @F.pandas_udf("struct<comune:string,number:string,suffix:string,kind:string,words:array<string>>")
     def parse(raw: pd.Series, comune: pd.Series, zone: pd.Series, title: pd.Series, caption: pd.Series) -> pd.DataFrame:
