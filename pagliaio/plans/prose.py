@@ -12,6 +12,7 @@ from pagliaio.plans.joins import ANCHORS, _CLUSTERS, clusters, joi_12, joi_07
 from pagliaio.plans.joins import SQL as JOIN_SQL
 from pagliaio.plans.offers import AREA, FOLD
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
+from pagliaio.session import cut_lineage
 from pagliaio.tables import load, rec_name
 
 plan = Plan()
@@ -148,16 +149,35 @@ def ext_07(spark, d):
     return p.groupBy(F.col("h").alias("dhash")).agg(F.count("*").alias("listings")).join(F.broadcast(n), F.col("listings").cast("double") / F.col("n") > 0.001).select("dhash", "listings")  # one row
 
 
+#: Draws of the bootstrap.
+DRAWS = 2_000
+
+
 @plan.query("ext_01")
 def ext_01(spark, d):
-    """Extension: bootstrap of the median unit price, 200 seeded draws, percentile interval.
+    """Extension: bootstrap of the median unit price, 2,000 seeded draws, percentile interval.
 
     Poisson weights by hash make every draw a pass of independent rows: no resampling
-    step, no collected sample, the same result on every run.
+    step, no collected sample, the same result on every run. A draw's median is sought
+    among the rows within eight standard errors of the plain one; the others are counted.
     """
     u = listings(spark, d, "price", "mq").where("price > 0 AND mq > 0").select("rec", (F.col("price").cast("double") / F.col("mq")).alias("x"))
-    draws = u.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(200))))
+    u = cut_lineage(u.repartition(4 * spark.sparkContext.defaultParallelism, "rec"))
+    n = u.count()
+    near = min(0.5, 4 / max(n, 1) ** 0.5)
+    low, high = u.agg(F.expr(f"percentile(x, {0.5 - near})"), F.expr(f"percentile(x, {0.5 + near})")).first()
+    draws = u.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(DRAWS))))
     z = F.pmod(F.xxhash64("rec", "draw"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     weight = F.when(z < 0.36787944, 0).when(z < 0.73575888, 1).when(z < 0.9196986, 2).when(z < 0.98101184, 3).when(z < 0.99634015, 4).otherwise(5)
-    medians = draws.withColumn("w", weight).where("w > 0").groupBy("draw").agg(F.expr("percentile(x, 0.5, w)").alias("m"))
+    draws = draws.withColumn("w", weight).where("w > 0")
+    # Places of the two middle rows of a draw, counted from 0.
+    totals = draws.groupBy("draw").agg(F.sum("w").alias("n"), F.coalesce(F.sum(F.when(F.col("x") < F.lit(low), F.col("w"))), F.lit(0)).alias("below"))
+    totals = totals.select("draw", "below", F.expr("(n - 1) div 2").alias("a"), F.expr("n div 2").alias("b"))
+    middle = draws.where(F.col("x").between(F.lit(low), F.lit(high))).groupBy("draw", "x").agg(F.sum("w").alias("w"))
+    ends = F.col("below") + F.sum("w").over(W.partitionBy("draw").orderBy("x"))
+    placed = middle.join(totals, "draw").withColumn("end", ends)
+    at = lambda k: F.max(F.when((F.col(k) >= F.col("end") - F.col("w")) & (F.col(k) < F.col("end")), F.col("x")))
+    found = placed.groupBy("draw").agg(at("a").alias("a"), at("b").alias("b"))
+    outside = F.raise_error(F.lit("a draw's median lies beyond eight standard errors")).cast("double")
+    medians = found.select("draw", F.coalesce((F.col("a") + F.col("b")) / 2, outside).alias("m"))
     return medians.agg(F.count("*").alias("draws"), half_up(F.percentile("m", 0.025)).alias("low"), half_up(F.percentile("m", 0.5)).alias("middle"), half_up(F.percentile("m", 0.975)).alias("high"))
