@@ -290,18 +290,24 @@ def minhash_bands(word: str) -> list[int]:
 
 
 def known_places(listings: DataFrame) -> Gazetteer:
-    """The comuni of the listings, and for each postcode of their addresses the comune that it stands with most often."""
-    named = listings.where(F.col("comune").isNotNull()).groupBy("comune").count()
-    if not small_enough(named):
-        raise ValueError("more different comune spellings than a country can have")
-    names = {comune_name(r.comune) for r in named.collect()} - {""}
-    code = F.regexp_extract("address_raw", r"(?<!\d)\d{5}(?!\d)", 0)
-    codes = (
-        listings.where(F.col("comune").isNotNull()).select(code.alias("code"), "comune").where(F.col("code") != "")
-        .groupBy("code", "comune").count().groupBy("code").agg(F.max_by("comune", F.struct("count", "comune")).alias("comune"))
-    )
-    # A country has fewer postcodes than 100,000.
-    return Gazetteer(names, {r.code: comune_name(r.comune) for r in codes.limit(100_000).collect()})
+    """The comuni of the listings, and for each postcode of their addresses the comune that it stands with most often.
+
+    Spellings are brought to one form before they are counted; what is left is bounded by the country's comuni.
+    """
+
+    @F.pandas_udf("string")
+    def one_name(texts: pd.Series) -> pd.Series:
+        return texts.map(comune_name)
+
+    code = F.regexp_extract(F.coalesce("address_raw", F.lit("")), r"(?<!\d)\d{5}(?!\d)", 0)
+    spelt = listings.where(F.col("comune").isNotNull()).groupBy(F.col("comune").alias("spelling"), code.alias("code")).count()
+    spelt = cut_lineage(spelt.withColumn("comune", one_name("spelling")).where(F.col("comune") != "").groupBy("comune", "code").agg(F.sum("count").alias("n")))
+    names = spelt.select("comune").distinct()
+    if not small_enough(names):
+        raise ValueError("more different comuni than a country can have")
+    codes = spelt.where(F.col("code") != "").groupBy("code").agg(F.max_by("comune", F.struct("n", "comune")).alias("comune"))
+    # There are at most 100,000 codes of five digits.
+    return Gazetteer({r.comune for r in names.collect()}, {r.code: r.comune for r in codes.collect()})
 
 
 def parse_addresses(listings: DataFrame) -> DataFrame:

@@ -10,24 +10,28 @@ from pagliaio.llm.matching import match_pages
 from pagliaio.llm.personal import find_personal
 from pagliaio.tables import current_state, load, rec_name
 
-#: Least confidence of a reported match.
-CONFIDENCE = 0.5
+#: Least confidence of a reported match, and of one worth listing.
+CONFIDENCE, POSSIBLE = 0.5, 0.05
 
 
-def p2_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings and agency pages that may be one property for sale, with score, gap and confidence."""
+def _matches(spark: SparkSession, sf_dir: str, least_confidence: float) -> DataFrame:
     columns = ["comune", "typology", "typology_raw", "price", "mq", "mq_commercial", "surface_raw", "address_raw", "title", "caption", "description", "zona_raw", "vani"]
     listings = current_state(load(spark, sf_dir, "listings"), columns)
     harvest = load(spark, sf_dir, "agency_site_listings").where(F.col("url").isNotNull())
     state = F.struct("harvested_on", F.struct("is_rent", "price", "mq", "comune", "comune_raw", "title").alias("row"))
     pages = harvest.groupBy("url").agg(F.max(state).alias("s")).select("url", "s.row.*").where(F.coalesce(F.col("is_rent"), F.lit(0)) == 0)
     links = load(spark, sf_dir, "url_alt").select(rec_name().alias("rec"), F.col("url_alt").alias("url"))
-    return match_pages(listings, pages, links)
+    return match_pages(listings, pages, links, least_confidence)
+
+
+def p2_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings and agency pages that may be one property for sale, with BM25, agreement, gap and confidence."""
+    return _matches(spark, sf_dir, POSSIBLE)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing and an agency page that offer the same property for sale."""
-    return p2_matches(spark, sf_dir).where(F.col("confidence") >= CONFIDENCE).select("rec", "url")
+    return _matches(spark, sf_dir, CONFIDENCE).select("rec", "url")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
