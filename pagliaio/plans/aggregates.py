@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagliaio.functions.text import area_key, public_street
+from pagliaio.functions.text import area_key, fold_accents, public_street
 from pagliaio.plans.joins import _CLUSTERS, _cascade, _cascade_sql, clusters
-from pagliaio.plans.offers import AREA
+from pagliaio.plans.offers import _STREET6, AREA, FOLD
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
 from pagliaio.tables import load, rec_name
 
@@ -263,3 +263,45 @@ def str_08(spark, d):
     label = F.regexp_replace(F.coalesce("address_raw", F.lit("")), "[,;].*$", "")
     s = members(spark, d, "address_raw").select("cluster", label.alias("label")).where("label <> ''")
     return s.groupBy("cluster").agg(F.min_by("label", F.struct(-F.length("label"), "label")).alias("label"))
+
+
+_LABEL = f"coalesce(regexp_extract_all(regexp_replace(lower({FOLD('label')}), '[^a-z0-9]+', ' ', 'g'), '[a-z0-9]+')[1:4], [])"
+_SLUG = f"""{_MEMBERS}, t AS (SELECT *, {_STREET6} AS street FROM m),
+    g AS (SELECT cluster, min_by({AREA('comune')}, rec) AS area, min_by(street, (-length(street), street)) FILTER (street <> '') AS label, left(sha1(string_agg(rec, '|' ORDER BY rec)), 6) AS h FROM t GROUP BY cluster),
+    s AS (SELECT cluster, array_to_string(list_filter(list_concat([area], {_LABEL}, [h]), lambda x: x <> ''), '-') AS slug FROM g)"""
+
+
+def cluster_slugs(spark, d):
+    """``cluster, slug``: area of the first member, four words of the longest public street, six digits of the members' digest."""
+    m = members(spark, d, "comune", "address_raw").withColumn("street", public_street(F.col("address_raw")))
+    named = F.when(F.col("street") != "", F.struct((-F.length("street")).alias("k"), "street"))
+    g = m.groupBy("cluster").agg(F.min_by(area_key(F.col("comune")), "rec").alias("area"), F.min(named)["street"].alias("label"), F.left(F.sha1(F.array_join(F.array_sort(F.collect_list("rec")), "|")), F.lit(6)).alias("h"))
+    words = F.filter(F.split(F.regexp_replace(F.lower(fold_accents(F.coalesce("label", F.lit("")))), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    return g.select("cluster", F.array_join(F.filter(F.concat(F.array("area"), F.slice(words, 1, 4), F.array("h")), lambda x: x != ""), "-").alias("slug"))
+
+
+@plan.query("str_16_clusters", f"WITH {_SLUG} SELECT cluster, slug FROM s")
+def str_16_clusters(spark, d):
+    """Public key of each cluster."""
+    return cluster_slugs(spark, d)
+
+
+_CIVIC_KEY = "-[0-9]+[a-z]?-[0-9a-f]{6}$"
+
+
+@plan.query("gate_03", f"WITH {_SLUG} SELECT count(*) FILTER (regexp_matches(slug, '{_CIVIC_KEY}')) AS violations, count(*) AS keys FROM s")
+def gate_03(spark, d):
+    """Public keys of clusters that end in a house number."""
+    return cluster_slugs(spark, d).agg(F.count_if(F.col("slug").rlike(_CIVIC_KEY)).alias("violations"), F.count("*").alias("keys"))
+
+
+@plan.query("win_09", f"""WITH {_DIFF}, v AS (SELECT DISTINCT unnest(ids) AS rec FROM verified_clusters WHERE verdict = 'confirmed'), sure AS (SELECT DISTINCT cluster FROM m JOIN v USING (rec))
+    SELECT cluster, {half_up_sql("coalesce((m_hi - m_lo)::DOUBLE / m_lo * 100, 0) + coalesce((p_hi - p_lo)::DOUBLE / p_lo * 100, 0)")} + CASE WHEN cluster IN (FROM sure) THEN 50 ELSE 0 END AS score FROM x""")
+def win_09(spark, d):
+    """Rank of findings: size and price spread in per cent, and fifty where a member is confirmed; ties by name."""
+    pct = lambda lo, hi: F.coalesce((F.col(hi) - F.col(lo)).cast("double") / F.col(lo) * 100, F.lit(0.0))
+    sure = load(spark, d, "verified_clusters").where("verdict = 'confirmed'").select(F.explode("ids").alias("rec")).distinct()
+    confirmed = clusters(spark, d).join(sure, "rec", "left_semi").select("cluster", F.lit(50).alias("bonus")).distinct()
+    x = differences(spark, d).join(confirmed, "cluster", "left")
+    score = half_up(pct("m_lo", "m_hi") + pct("p_lo", "p_hi")) + F.coalesce("bonus", F.lit(0))
+    return x.select("cluster", score.alias("score")).orderBy(F.desc("score"), "cluster")

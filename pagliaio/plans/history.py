@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagliaio.operators.changes import insert_absent, observed_changes, upsert
 from pagliaio.plans.offers import AREA
+from pagliaio.functions.text import area_key
 from pagliaio.plans.registry import LISTINGS, Plan, listings
 from pagliaio.tables import instant, load, rec_name, utc_date_text
 
@@ -107,11 +108,13 @@ def snk_04(spark, d):
     return upsert(now, incoming, ["source", "source_id"], [F.col("seen_at"), F.col("price")]).select("source", "source_id", "price", "url")
 
 
-@plan.query("snk_05", f"WITH {LISTINGS}, o AS (SELECT rec, source, source_id FROM l WHERE source = 'casabacheca'), i AS (SELECT DISTINCT source, source_id FROM price_history) SELECT source, source_id FROM o UNION SELECT source, source_id FROM i")
+@plan.query("snk_05", f"WITH {LISTINGS}, i AS (SELECT DISTINCT site AS source, url AS source_id FROM agency_site_listings UNION SELECT DISTINCT source, source_id FROM price_history) SELECT source, source_id FROM l UNION SELECT source, source_id FROM i")
 def snk_05(spark, d):
-    """Insert where the key is absent; the first writer wins."""
-    now = listings(spark, d).where("source = 'casabacheca'").select("source", "source_id")
-    return insert_absent(now, load(spark, d, "price_history").select("source", "source_id", "seen_at"), ["source", "source_id"], [F.col("seen_at")]).select("source", "source_id")
+    """Insert where the key is absent, the first writer wins: sightings and agency pages beside all listings."""
+    now = listings(spark, d).select("source", "source_id")
+    pages = load(spark, d, "agency_site_listings").select(F.col("site").alias("source"), F.col("url").alias("source_id"), F.col("harvested_on").alias("seen_at"))
+    incoming = load(spark, d, "price_history").select("source", "source_id", "seen_at").unionByName(pages)
+    return insert_absent(now, incoming, ["source", "source_id"], [F.col("seen_at")]).select("source", "source_id")
 
 
 @plan.query("snk_09", f"WITH {LISTINGS} SELECT url, coalesce(max(left(last_seen, 10)), (SELECT left(max(fetched_at), 10) FROM l)) AS lastmod FROM l GROUP BY url")
@@ -170,14 +173,13 @@ def win_08(spark, d):
     return rows.select("rec", F.count("*").over(W.partitionBy("area", "price")).alias("same_price"))
 
 
-@plan.query("win_12", f"WITH {LISTINGS} SELECT rec, CASE {AREA('comune')} WHEN 'roccaveltra' THEN 0 WHEN 'borgosemprino' THEN 1 ELSE 2 END AS priority FROM l")
+@plan.query("win_12", f"WITH {LISTINGS}, a AS (SELECT {AREA('comune')} AS area, count(*) AS n FROM l GROUP BY 1), p AS (SELECT area, row_number() OVER (ORDER BY n DESC, area) - 1 AS priority FROM a) SELECT rec, priority FROM l JOIN p ON p.area = {AREA('comune')}")
 def win_12(spark, d):
-    """Harvest order by area."""
-    from pagliaio.functions.text import area_key
-
-    area = area_key(F.col("comune"))
-    rows = listings(spark, d, "comune").select("rec", F.when(area == "roccaveltra", 0).when(area == "borgosemprino", 1).otherwise(2).alias("priority"))
-    return rows.orderBy("priority", "rec")
+    """Harvest order by area, the largest first."""
+    rows = listings(spark, d, "comune").select("rec", area_key(F.col("comune")).alias("area"))
+    # One row an area is ranked, not the listings.
+    order = rows.groupBy("area").agg(F.count("*").alias("n")).select("area", (F.row_number().over(W.orderBy(F.desc("n"), "area")) - 1).alias("priority"))
+    return rows.join(order, "area").select("rec", F.col("priority").cast("long").alias("priority")).orderBy("priority", "rec")
 
 
 @plan.query("win_13", f"WITH {SEEN}, r AS (SELECT DISTINCT us FROM s), n AS (SELECT us, row_number() OVER (ORDER BY us) - 1 AS i, count(*) OVER () AS c FROM r) SELECT us FROM n WHERE i IN (SELECT CAST(floor(k * (SELECT max(c) FROM n) / 20.0) AS BIGINT) FROM range(20) t(k))")
@@ -209,13 +211,6 @@ def win_15(spark, d):
     return rows.withColumn("k", F.row_number().over(W.partitionBy("area").orderBy(F.col("dom_est").desc(), "rec"))).where("k <= 60").select("area", "rec")
 
 
-@plan.query("win_09", "SELECT ord, len(list_distinct(ids)) * 10 + CASE WHEN verdict = 'confirmed' THEN 50 ELSE 0 END AS rank FROM verified_clusters")
-def win_09(spark, d):
-    """Rank of findings with an explicit tie-break."""
-    rank = F.size(F.array_distinct("ids")).cast("long") * 10 + F.when(F.col("verdict") == "confirmed", 50).otherwise(0)
-    return load(spark, d, "verified_clusters").select("ord", rank.alias("rank")).orderBy(F.col("rank").desc(), "ord")
-
-
 @plan.query("set_01", "WITH e AS (SELECT source || '/' || source_id AS rec, 'page' AS route FROM url_alt UNION SELECT unnest(ids), 'verdict' FROM verified_clusters UNION SELECT source || '/' || source_id, 'picture' FROM photo_hashes) SELECT rec, list_aggregate(list_sort(list(DISTINCT route)), 'string_agg', '+') AS evidence FROM e GROUP BY rec")
 def set_01(spark, d):
     """Union of evidence routes, merged by record."""

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagliaio.functions.text import area_key, hash_bits, street_joined
+from pagliaio.functions.text import area_key, hash_bits, plain_url, street_joined
 from pagliaio.operators.graph import components
 from pagliaio.operators.similarity import near_hashes
-from pagliaio.plans.offers import AREA, FOLD
+from pagliaio.plans.offers import AREA, FOLD, URL
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
 from pagliaio.tables import broadcast_if_small, load, rec_name
 
@@ -83,6 +83,19 @@ def offers(spark, d):
     )
 
 
+def close_pairs(o):
+    """``rec_a, rec_b`` of ``offers``: equal area and price, sizes within 15 per cent, streets that don't contradict."""
+    o = o.where("price > 0").drop("ref")
+    rare = o.groupBy("area", "price").agg(F.count("*").alias("k"))
+    o = o.where("mq > 0").join(rare, ["area", "price"]).withColumn("band", F.floor(F.log("mq") / F.log(F.lit(1.16))))
+    a, b = o.alias("a"), o.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("b")
+    x = lambda side, c: F.col(f"{side}.{c}")
+    close = (F.greatest("a.mq", "b.mq") - F.least("a.mq", "b.mq")).cast("double") / F.least("a.mq", "b.mq") <= 0.15
+    street = F.when(x("a", "street").isNull() | x("b", "street").isNull(), x("a", "k") <= 2).otherwise(F.contains("a.street", "b.street") | F.contains("b.street", "a.street"))
+    on = (x("a", "area") == x("b", "area")) & (x("a", "price") == x("b", "price")) & (x("a", "band") == x("b", "band")) & (x("a", "rec") < x("b", "rec")) & (x("a", "seller") != x("b", "seller"))
+    return a.join(b, on).where(close & street).select(x("a", "rec").alias("rec_a"), x("b", "rec").alias("rec_b"))
+
+
 _PRICE_GROUPS = "g AS (SELECT area, price, count(*) AS n, count(DISTINCT seller) AS sellers, min(rec) AS first_rec FROM o WHERE price > 0 AND price % 1000 <> 0 GROUP BY area, price HAVING count(DISTINCT seller) >= 2)"
 
 
@@ -106,15 +119,7 @@ def joi_05(spark, d):
     Sizes within 15 per cent lie in one band of that width or in neighbouring ones, so
     the band joins the key: a common price is not compared all against all.
     """
-    o = offers(spark, d).where("price > 0").drop("ref")
-    rare = o.groupBy("area", "price").agg(F.count("*").alias("k"))
-    o = o.where("mq > 0").join(rare, ["area", "price"]).withColumn("band", F.floor(F.log("mq") / F.log(F.lit(1.16))))
-    a, b = o.alias("a"), o.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).alias("b")
-    x = lambda side, c: F.col(f"{side}.{c}")
-    close = (F.greatest("a.mq", "b.mq") - F.least("a.mq", "b.mq")).cast("double") / F.least("a.mq", "b.mq") <= 0.15
-    street = F.when(x("a", "street").isNull() | x("b", "street").isNull(), x("a", "k") <= 2).otherwise(F.contains("a.street", "b.street") | F.contains("b.street", "a.street"))
-    on = (x("a", "area") == x("b", "area")) & (x("a", "price") == x("b", "price")) & (x("a", "band") == x("b", "band")) & (x("a", "rec") < x("b", "rec")) & (x("a", "seller") != x("b", "seller"))
-    return a.join(b, on).where(close & street).select(x("a", "rec").alias("rec_a"), x("b", "rec").alias("rec_b"))
+    return close_pairs(offers(spark, d))
 
 
 @plan.query(
@@ -126,7 +131,8 @@ def joi_05(spark, d):
 def joi_06(spark, d):
     """References shared by sellers, and whether they confirm exactly the members of a price group."""
     o = offers(spark, d)
-    members = F.bit_xor(F.xxhash64("rec"))
+    # Sets are compared by the sum and the exclusive or of two different hashes of their members, and their number.
+    members = F.concat_ws("/", F.bit_xor(F.xxhash64("rec")), F.sum(F.xxhash64(F.lit(1), F.col("rec")).cast("decimal(38,0)")))
     refs = o.where("ref <> ''").groupBy("area", "ref").agg(F.count("*").alias("n"), F.countDistinct("seller").alias("sellers"), members.alias("x")).where("sellers >= 2")
     groups = o.where("price > 0 AND price % 1000 <> 0").groupBy("area", "price").agg(F.count("*").alias("n"), F.countDistinct("seller").alias("sellers"), members.alias("x")).where("sellers >= 2").select("area", "n", "x", F.lit(True).alias("hit")).distinct()
     return refs.join(groups, ["area", "n", "x"], "left").select("area", "ref", "n", F.coalesce("hit", F.lit(False)).alias("corroborates"))
@@ -308,13 +314,28 @@ def joi_16(spark, d):
     return c.withColumn("rank", rank).where("rank <= 5").select("rec", "near", "diff")
 
 
-@plan.query("joi_17", r"WITH p AS (SELECT DISTINCT url, regexp_extract(url, '-([0-9]{3,9})[.]html$', 1) AS ref FROM agency_site_listings), u AS (SELECT DISTINCT source_id, url_alt, regexp_extract(url_alt, '-([0-9]{3,9})[.]html$', 1) AS ref FROM url_alt) SELECT u.source_id, p.url FROM u JOIN p ON p.ref = u.ref AND p.ref <> '' AND (contains(p.url, u.url_alt) OR contains(u.url_alt, p.url))")
+_TAIL = lambda c: f"regexp_extract(regexp_replace({URL(c)}, '[.](html?|php|aspx)$', ''), '(?:^|[-_/])([0-9]{{3,9}})$', 1)"
+
+
+@plan.query(
+    "joi_17",
+    f"WITH p AS (SELECT DISTINCT url, {URL('url')} AS a, {_TAIL('url')} AS t FROM agency_site_listings), u AS (SELECT DISTINCT source_id, {URL('url_alt')} AS b, {_TAIL('url_alt')} AS r FROM url_alt) SELECT DISTINCT u.source_id, p.url FROM u JOIN p ON contains(p.a, u.b) OR contains(u.b, p.a) OR (p.t <> '' AND p.t = u.r)",
+)
 def joi_17(spark, d):
-    """Lookup: one address contains the other; both end in the same reference."""
-    tail = lambda c: F.regexp_extract(c, "-([0-9]{3,9})[.]html$", 1)
-    p = load(spark, d, "agency_site_listings").select("url", tail("url").alias("ref")).where("ref <> ''").distinct()
-    u = load(spark, d, "url_alt").select("source_id", "url_alt", tail("url_alt").alias("ref")).distinct()
-    return u.join(p, "ref").where(F.contains("url", F.col("url_alt")) | F.contains("url_alt", F.col("url"))).select("source_id", "url")
+    """Lookup: one plain address contains the other, or both end in the same reference.
+
+    Addresses without scheme contain each other only where one opens with the other or both share a host, so
+    containment is looked for inside a host (the text up to the first slash); the reference joins on itself.
+    """
+    tail = lambda c: F.regexp_extract(F.regexp_replace(plain_url(c), "[.](html?|php|aspx)$", ""), "(?:^|[-_/])([0-9]{3,9})$", 1)
+    host = lambda c: F.split_part(plain_url(c), F.lit("/"), F.lit(1))
+    p = load(spark, d, "agency_site_listings").where("url IS NOT NULL").select("url", plain_url(F.col("url")).alias("a"), tail(F.col("url")).alias("t"), host(F.col("url")).alias("host")).distinct()
+    u = load(spark, d, "url_alt").where("url_alt IS NOT NULL").select("source_id", plain_url(F.col("url_alt")).alias("b"), tail(F.col("url_alt")).alias("r"), host(F.col("url_alt")).alias("host")).distinct()
+    by_ref = u.join(p, (F.col("t") == F.col("r")) & (F.col("t") != "")).select("source_id", "url")
+    # Two different addresses of a host that contain each other share their opening path segment too.
+    lead = lambda c: F.substring_index(c, "/", 2)
+    within = u.withColumn("lead", lead(F.col("b"))).join(p.withColumn("lead", lead(F.col("a"))), ["host", "lead"]).where(F.contains("a", F.col("b")) | F.contains("b", F.col("a")))
+    return by_ref.unionByName(within.select("source_id", "url")).distinct()
 
 
 @plan.query("joi_18", f"WITH {LISTINGS} SELECT a.rec, b.rec AS hit FROM l a JOIN l b ON regexp_extract(a.url, '([0-9]{{6,}})', 1) = b.source_id")

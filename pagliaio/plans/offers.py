@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagliaio.functions.numbers import digits_joined, first_whole, italian_decimal, relative_to_first, relative_to_max, relative_to_min
-from pagliaio.functions.text import area_key, hash_bits, plain_url, public_street, slug, street_bare, street_joined, tail_ref, type_class
-from pagliaio.functions.text import HOUSE_NUMBER, STREET_WORDS, TYPE_SYNONYMS, _ACCENTED, _PLAIN
+from pagliaio.functions.text import area_key, hash_bits, is_street, plain_url, public_street, slug, street_bare, street_joined, tail_ref, type_class
+from pagliaio.functions.text import HOUSE_NUMBER, LOOSE_END, STREET_OPENERS, STREET_WORDS, TYPE_SYNONYMS, _ACCENTED, _PLAIN
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
-from pagliaio.tables import load
+from pagliaio.tables import broadcast_if_small, load, rec_name
 
 plan = Plan()
 QUERIES, SQL = plan.queries, plan.sql
@@ -58,12 +61,13 @@ def src_16(spark, d):
 
 @plan.query(
     "src_21",
-    """SELECT vec_id, list_aggregate(list_transform(embedding[1:63], lambda x, i: CASE WHEN x > 0 THEN CAST(1 AS BIGINT) << CAST(i - 1 AS INTEGER) ELSE 0 END), 'sum')::BIGINT AS bits FROM embeddings""",
+    """SELECT vec_id, format('{:016x}', list_aggregate(list_transform(embedding, lambda x, i: CASE WHEN x > 0 THEN CAST(1 AS HUGEINT) << CAST(i - 1 AS HUGEINT) ELSE 0 END), 'sum')::UBIGINT) AS bits FROM embeddings""",
 )
 def src_21(spark, d):
-    """Sign hash of a vector: bit i says whether component i is positive (63 components)."""
-    bit = F.transform(F.slice("embedding", 1, 63), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return load(spark, d, "embeddings").select("vec_id", F.aggregate(bit, F.lit(0).cast("long"), lambda a, x: a + x).alias("bits"))
+    """Sign hash of a vector in hex: bit i says whether component i is positive, the last of 64 in the sign bit."""
+    bit = F.transform("embedding", lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    bits = F.aggregate(bit, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    return load(spark, d, "embeddings").select("vec_id", F.lower(F.lpad(F.hex(bits), 16, "0")).alias("bits"))
 
 
 @plan.query(
@@ -95,11 +99,19 @@ def flt_02(spark, d):
     return listings(spark, d, "agency_name", "caption", "description").select("rec", F.coalesce("agency_name", F.lit("")).rlike(AUCTION).alias("by_name"), text.rlike(AUCTION_TEXT).alias("by_text"))
 
 
-@plan.query("flt_03", rf"WITH {LISTINGS} SELECT DISTINCT lower(trim(agency_name)) AS seller, lower(trim(agency_name)) IN ('immobil sorl', 'ottava porta') OR regexp_matches(lower(trim(agency_name)), '{AUCTION}') AS reseller FROM l WHERE agency_name IS NOT NULL")
+def resellers(listings_: DataFrame, names: DataFrame) -> DataFrame:
+    """``seller, reseller``: sellers whose name stands in ``names`` (seller) or holds a word for auctions."""
+    sellers = listings_.where(F.col("agency_name").isNotNull()).select(F.lower(F.trim("agency_name")).alias("seller")).distinct()
+    listed = names.select(F.lower(F.trim("seller")).alias("seller"), F.lit(True).alias("listed")).distinct()
+    return sellers.join(listed, "seller", "left").select("seller", (F.coalesce("listed", F.lit(False)) | F.col("seller").rlike(AUCTION)).alias("reseller"))
+
+
+@plan.query("flt_03", rf"WITH {LISTINGS}, s AS (SELECT DISTINCT lower(trim(agency_name)) AS seller FROM l WHERE agency_name IS NOT NULL), n AS (SELECT DISTINCT lower(trim(agency_name)) AS seller FROM l WHERE regexp_matches(coalesce(caption, '') || ' ' || coalesce(description, ''), '{AUCTION_TEXT}')) SELECT seller, seller IN (SELECT seller FROM n WHERE seller IS NOT NULL) OR regexp_matches(seller, '{AUCTION}') AS reseller FROM s")
 def flt_03(spark, d):
-    """Sellers that resell auctions: a fixed set of names or a word of the name."""
-    name = F.lower(F.trim("agency_name"))
-    return listings(spark, d, "agency_name").where(F.col("agency_name").isNotNull()).select(name.alias("seller"), (name.isin("immobil sorl", "ottava porta") | name.rlike(AUCTION)).alias("reseller")).distinct()
+    """Sellers that resell auctions, by a table of names or a word of the name; the table here: sellers whose texts speak of auctions."""
+    rows = listings(spark, d, "agency_name", "caption", "description")
+    text = F.concat(F.coalesce("caption", F.lit("")), F.lit(" "), F.coalesce("description", F.lit("")))
+    return resellers(rows, rows.where(text.rlike(AUCTION_TEXT)).select(F.col("agency_name").alias("seller")))
 
 
 @plan.query(
@@ -122,18 +134,36 @@ def flt_04(spark, d):
     )
 
 
-@plan.query(
-    "flt_05",
-    f"""WITH a(alias, target, ord) AS (VALUES ('rocca', 'roccaveltra', 1), ('borgo', 'borgosemprino', 2), ('san', 'sanquirzoinselva', 3), ('castel', 'casteldrusiano', 4)),
-    k AS (SELECT DISTINCT {AREA('comune')} AS k FROM listings)
-    SELECT k, coalesce((SELECT min_by(target, ord) FROM a WHERE starts_with(k, alias)), k) AS resolved FROM k""",
-)
+def resolved_aliases(keys: DataFrame, aliases: DataFrame, anywhere: bool = False) -> DataFrame:
+    """``k, resolved``: the target of the first alias (alias, target, ord) that opens the key, or stands anywhere in it; a key without one stays.
+
+    An alias table is a hand-kept list; it is broadcast where it is small.
+    """
+    meets = F.contains(F.col("k"), F.col("alias")) if anywhere else F.startswith("k", "alias")
+    hits = keys.join(broadcast_if_small(aliases.where("alias <> ''")), meets, "left")
+    return hits.groupBy("k").agg(F.min_by("target", "ord").alias("t")).select("k", F.coalesce("t", "k").alias("resolved"))
+
+
+_ALIAS = f"WITH a AS (SELECT DISTINCT left({AREA('comune')}, 5) AS alias, {AREA('comune')} AS target, dense_rank() OVER (ORDER BY {AREA('comune')}) AS ord FROM omi_bands), k AS (SELECT DISTINCT {AREA('comune')} AS k FROM listings)"
+
+
+def _alias_table(spark, d):
+    """First letters of the scope's areas, standing for the area; earlier areas first."""
+    areas = load(spark, d, "omi_bands").select(area_key(F.col("comune")).alias("target")).distinct()
+    return areas.select(F.left("target", F.lit(5)).alias("alias"), "target", F.col("target").alias("ord"))
+
+
+@plan.query("flt_05", f"{_ALIAS} SELECT k, coalesce((SELECT min_by(target, ord) FROM a WHERE alias <> '' AND starts_with(k, alias)), k) AS resolved FROM k")
 def flt_05(spark, d):
     """Aliases by prefix, the first in order; a key without one stays."""
-    alias = spark.createDataFrame([("rocca", "roccaveltra", 1), ("borgo", "borgosemprino", 2), ("san", "sanquirzoinselva", 3), ("castel", "casteldrusiano", 4)], "alias string, target string, ord int")
-    keys = load(spark, d, "listings").select(area_key(F.col("comune")).alias("k")).distinct()
-    hits = keys.join(F.broadcast(alias), F.startswith("k", "alias"), "left")  # four fixed rows
-    return hits.groupBy("k").agg(F.min_by("target", "ord").alias("t")).select("k", F.coalesce("t", "k").alias("resolved"))
+    return resolved_aliases(load(spark, d, "listings").select(area_key(F.col("comune")).alias("k")).distinct(), _alias_table(spark, d))
+
+
+@plan.query("flt_05_text", f"WITH a AS (SELECT DISTINCT {AREA('comune')} AS alias FROM omi_bands), k AS (SELECT DISTINCT {AREA('title')} AS k FROM listings) SELECT k, coalesce((SELECT min(alias) FROM a WHERE alias <> '' AND contains(k, alias)), k) AS resolved FROM k")
+def flt_05_text(spark, d):
+    """Aliases anywhere in free text, only those in scope."""
+    areas = load(spark, d, "omi_bands").select(area_key(F.col("comune")).alias("alias")).distinct().selectExpr("alias", "alias AS target", "alias AS ord")
+    return resolved_aliases(load(spark, d, "listings").select(area_key(F.col("title")).alias("k")).distinct(), areas, anywhere=True)
 
 
 @plan.query("flt_06", f"WITH {LISTINGS} SELECT rec, {half_up_sql('price::DOUBLE / mq')} AS unit_price FROM l WHERE price > 0 AND mq > 0 AND price::DOUBLE / mq BETWEEN 150 AND 12000")
@@ -151,11 +181,19 @@ def flt_07(spark, d):
     return load(spark, d, "agency_site_listings").select("url", rent.alias("rent"), usable.alias("usable")).distinct()
 
 
-@plan.query("flt_11", f"WITH {LISTINGS}, o AS (SELECT DISTINCT source || '/' || source_id AS rec FROM url_alt WHERE match_route = 'ref') SELECT rec FROM l WHERE source <> 'ag-immobilsorl' AND NOT EXISTS (SELECT 1 FROM o WHERE o.rec = l.rec)")
+def without_opted_out(listings_: DataFrame, optout: DataFrame) -> DataFrame:
+    """Listings that no entry of ``optout`` (name: a source or a rec) takes out."""
+    names = optout.select("name").distinct()
+    return listings_.join(names.withColumnRenamed("name", "rec"), "rec", "left_anti").join(names.withColumnRenamed("name", "source"), "source", "left_anti")
+
+
+@plan.query("flt_11", f"WITH {LISTINGS}, o AS (SELECT source || '/' || source_id AS name FROM url_alt WHERE match_route = 'ref' UNION SELECT source FROM l GROUP BY source HAVING count(*) FILTER (price_withheld = 1) * 8 > count(*)) SELECT rec FROM l WHERE source NOT IN (SELECT name FROM o) AND rec NOT IN (SELECT name FROM o)")
 def flt_11(spark, d):
-    """Opt-out: a whole source, or single listings, by anti-join."""
-    out = load(spark, d, "url_alt").where("match_route = 'ref'").select(F.concat_ws("/", "source", "source_id").alias("rec"))
-    return listings(spark, d).where("source <> 'ag-immobilsorl'").join(out, "rec", "left_anti").select("rec")
+    """Opt-out by source or by listing; the table here: sources that withhold many prices, and listings linked by reference."""
+    rows = listings(spark, d, "price_withheld")
+    sources = rows.groupBy("source").agg((F.count_if(F.col("price_withheld") == 1) * 8 > F.count("*")).alias("out")).where("out").select(F.col("source").alias("name"))
+    single = load(spark, d, "url_alt").where("match_route = 'ref'").select(rec_name().alias("name"))
+    return without_opted_out(rows, sources.unionByName(single)).select("rec")
 
 
 @plan.query("flt_12", f"WITH {LISTINGS} SELECT rec FROM l WHERE photo_count > 0 AND NOT EXISTS (SELECT 1 FROM photo_hashes p WHERE p.source || '/' || p.source_id = l.rec)")
@@ -220,10 +258,8 @@ def str_05(spark, d):
     return load(spark, d, "listings").where(F.col("title").isNotNull()).select("title", place.alias("place")).distinct()
 
 
-_STREET6 = "regexp_replace(trim(regexp_replace(coalesce(address_raw, ''), '[ \t\r\n]+', ' ', 'g')), '[ ]*[;,].*$', '')"
-for _ in range(4):
-    _STREET6 = f"regexp_replace({_STREET6}, '{HOUSE_NUMBER}', '')"
-    _STREET6 = f"regexp_replace({_STREET6}, '^[ ,;-]+|[ ,;-]+$', '', 'g')"
+_STREET6 = "split_part(translate(trim(regexp_replace(coalesce(address_raw, ''), '[ \t\r\n]+', ' ', 'g')), ';', ','), ',', 1)"
+_STREET6 = f"trim(regexp_replace(regexp_replace({_STREET6}, '{HOUSE_NUMBER}', '', 'g'), '{LOOSE_END}', ''))"
 
 
 @plan.query("str_06", f"SELECT DISTINCT address_raw, {_STREET6} AS street FROM listings")
@@ -231,9 +267,9 @@ def str_06(spark, d):
     return load(spark, d, "listings").select("address_raw", public_street(F.col("address_raw")).alias("street")).distinct()
 
 
-@plan.query("str_07", "SELECT DISTINCT address_raw, regexp_matches(lower(coalesce(address_raw, '')), '^(via|viale|corso|piazza|piazzale|largo|vicolo|strada|borgo) ') AS is_street FROM listings")
+@plan.query("str_07", f"SELECT DISTINCT address_raw, contains(coalesce(address_raw, ''), ' ') AND split_part(lower(coalesce(address_raw, '')), ' ', 1) IN ({', '.join(f'{chr(39)}{w}{chr(39)}' for w in STREET_OPENERS)}) AS is_street FROM listings")
 def str_07(spark, d):
-    return load(spark, d, "listings").select("address_raw", F.lower(F.coalesce("address_raw", F.lit(""))).rlike("^(via|viale|corso|piazza|piazzale|largo|vicolo|strada|borgo) ").alias("is_street")).distinct()
+    return load(spark, d, "listings").select("address_raw", is_street(F.col("address_raw")).alias("is_street")).distinct()
 
 
 @plan.query("str_09", "SELECT DISTINCT typology, CASE " + " ".join(f"WHEN lower(trim(typology)) = '{k}' THEN '{v}'" for k, v in TYPE_SYNONYMS.items()) + " ELSE lower(trim(typology)) END AS class FROM listings")
@@ -274,11 +310,17 @@ def str_14(spark, d):
     return load(spark, d, "omi_bands").select("zona_code", cls.alias("class")).distinct()
 
 
-@plan.query("str_15", "SELECT DISTINCT agency_name, coalesce(nullif(trim(regexp_replace(regexp_replace(lower(agency_name), '\\b(immobiliare|agenzia|studio|case|srl|snc|di)\\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')), ''), lower(agency_name)) AS seller FROM listings WHERE agency_name IS NOT NULL")
+# Parts of a seller's name that tell no sellers apart, taken out in this order.
+SELLER_JUNK = ("immobiliare", "agenzia", "studio", "s.r.l.", "srl", "s.a.s.", "sas", "snc", "& c.", "gruppo", "real estate", "sansepolcro", "anghiari", "arezzo")
+_SELLER = reduce(lambda sql, junk: f"replace({sql}, '{junk}', ' ')", SELLER_JUNK, "lower(agency_name)")
+
+
+@plan.query("str_15", f"SELECT DISTINCT agency_name, coalesce(nullif(trim(regexp_replace({_SELLER}, ' +', ' ', 'g')), ''), trim(lower(agency_name))) AS seller FROM listings WHERE agency_name <> ''")
 def str_15(spark, d):
-    """Seller's name without common words; the whole name in lower case where nothing is left."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.lower("agency_name"), r"\b(immobiliare|agenzia|studio|case|srl|snc|di)\b", " "), "[^a-z0-9]+", " "))
-    return load(spark, d, "listings").where(F.col("agency_name").isNotNull()).select("agency_name", F.coalesce(F.nullif(bare, F.lit("")), F.lower("agency_name")).alias("seller")).distinct()
+    """Seller's name without what tells no sellers apart; the whole name in lower case where nothing is left."""
+    bare = reduce(lambda c, junk: F.replace(c, F.lit(junk), F.lit(" ")), SELLER_JUNK, F.lower("agency_name"))
+    bare = F.trim(F.regexp_replace(bare, " +", " "))
+    return load(spark, d, "listings").where("agency_name <> ''").select("agency_name", F.coalesce(F.nullif(bare, F.lit("")), F.trim(F.lower("agency_name"))).alias("seller")).distinct()
 
 
 @plan.query("str_16", f"WITH {LISTINGS} SELECT rec, regexp_replace(regexp_replace(lower({FOLD('concat_ws(chr(45), coalesce(typology, chr(120)), CAST(mq AS VARCHAR), source, source_id)')}), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug FROM l")
@@ -430,12 +472,6 @@ def txt_06(spark, d):
     return counts.select("of", F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("n")) for n, _ in _SURVEY])).alias("r")).select("r.field", "r.n", "of")
 
 
-@plan.query("gate_03", f"WITH {LISTINGS} SELECT count(*) AS violations FROM l WHERE regexp_matches({_STREET6}, ', *[0-9]+[a-z]?$')")
-def gate_03(spark, d):
-    """No house number in a public key."""
-    return listings(spark, d, "address_raw").agg(F.count_if(public_street(F.col("address_raw")).rlike(", *[0-9]+[a-z]?$")).alias("violations"))
-
-
 @plan.query("gate_05", "SELECT count(*) AS violations FROM listings WHERE NOT starts_with(coalesce(url, ''), 'http')")
 def gate_05(spark, d):
     return load(spark, d, "listings").agg(F.count_if(~F.startswith(F.coalesce("url", F.lit("")), F.lit("http"))).alias("violations"))
