@@ -165,13 +165,13 @@ def split_address(raw: str, comune: str, gazetteer: "Gazetteer") -> tuple[str, s
         m = rule.search(s)
         if m and not unnumbered:
             rest = (s[: m.start()] + " " + s[m.end() :]).strip(" ,")
-            if not re.search(r"[A-Za-z]{3}", rest):
+            if not re.search(r"[A-Za-z]{2}", rest):
                 continue
             number, suffix = str(int(m.group(1))), next((g for g in m.groups()[1:] if g), "").lower()
             s = rest
             break
     kind, words = _street_words(s.strip(" ,.-"))
-    if not any(len(w) > 2 and not w.isdigit() for w in words):
+    if not any(len(w) > 1 and not w.isdigit() for w in words):
         return None
     return named, number, suffix, kind, words
 
@@ -265,7 +265,7 @@ def street_cost(kind_a: str, a: tuple[str, ...], kind_b: str, b: tuple[str, ...]
             if ka and kb and ka != kb:
                 continue
             cost = min([_align(x, y)] + ([SWAPPED + _align(x[1:] + x[:1], y)] if len(x) > 1 else []))
-            if any(word_cost(v, w) < 1 and len(v) > 2 for v in x for w in y if not v.isdigit()):
+            if any(word_cost(v, w) < 1 and len(v) > 1 for v in x for w in y if not v.isdigit()):
                 best = min(best, cost + (NO_TYPE if ka != kb else 0.0))
     return best
 
@@ -339,10 +339,13 @@ def same_address_pairs(listings: DataFrame) -> DataFrame:
     comune, not once for each address; a place with many listings costs only the
     pairs that the result holds.
     """
-    parsed = cut_lineage(parse_addresses(listings).distinct())
+    columns = ["rec", "comune", "address_raw", "zona_raw", "title", "caption"]
+    parsed = cut_lineage(parse_addresses(cut_lineage(listings.select(*columns))).distinct().withColumn("pid", F.md5(F.to_json("place"))))
     key = ["comune", "number", "suffix"]
-    places = cut_lineage(parsed.select("place").distinct().select(F.xxhash64(F.to_json("place")).alias("pid"), "place.*"))
-    words = places.select("pid", *key, F.explode(F.array_distinct("words")).alias("word")).where((F.length("word") > 3) & ~F.col("word").isin(*_SOFT))
+    places = cut_lineage(parsed.select("pid", "place.*").dropDuplicates(["pid"]))
+    # Words that tell streets apart; all words of a street that has none of these.
+    telling = F.filter("words", lambda w: (F.length(w) > 1) & ~w.isin(*_SOFT))
+    words = places.select("pid", *key, F.explode(F.array_distinct(F.when(F.size(telling) > 0, telling).otherwise(F.col("words")))).alias("word"))
 
     @F.pandas_udf("array<long>")
     def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -350,7 +353,8 @@ def same_address_pairs(listings: DataFrame) -> DataFrame:
             yield pd.Series([minhash_bands(w) for w in batch], dtype=object)
 
     vocabulary = words.select("comune", "word").distinct()
-    banded = cut_lineage(vocabulary.select("comune", "word", F.explode(bands("word")).alias("band")))
+    # Words of fewer than five letters are never compared by their letters: they are near to themselves only.
+    banded = cut_lineage(vocabulary.where(F.length("word") > 4).select("comune", "word", F.explode(bands("word")).alias("band")))
     near = (
         banded.join(banded.select("comune", "band", F.col("word").alias("other")), ["comune", "band"])
         .where((F.col("word") < F.col("other")) & (F.abs(F.length("word") - F.length("other")) <= 2) & (F.levenshtein("word", "other", 4) >= 0))
@@ -368,7 +372,7 @@ def same_address_pairs(listings: DataFrame) -> DataFrame:
     side = lambda n: places.select(F.col("pid").alias(f"p{n}"), F.col("kind").alias(f"kind{n}"), F.col("words").alias(f"words{n}"))
     same = pairs.join(side(1), "p1").join(side(2), "p2").where(cost("kind1", "words1", "kind2", "words2") <= LIMIT).select("p1", "p2")
     same = cut_lineage(same.unionByName(places.select(F.col("pid").alias("p1"), F.col("pid").alias("p2"))))
-    members = cut_lineage(parsed.select("rec", F.xxhash64(F.to_json("place")).alias("pid")))
+    members = parsed.select("rec", "pid")
     left = members.select(F.col("pid").alias("p1"), F.col("rec").alias("r1"))
     right = members.select(F.col("pid").alias("p2"), F.col("rec").alias("r2"))
     return (

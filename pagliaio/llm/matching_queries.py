@@ -41,12 +41,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every listing's description and address with typed placeholders for personal data."""
-    return find_personal(current_state(load(spark, sf_dir, "listings"), ["comune", "description", "address_raw"])).select("rec", "description", "address_raw", F.size("found").alias("n_found"))
+    return find_personal(current_state(load(spark, sf_dir, "listings"), ["comune", "description", "address_raw", "agency_name"])).select("rec", "description", "address_raw", F.size("found").alias("n_found"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each piece of personal data with its field, kind and first character."""
-    found = find_personal(current_state(load(spark, sf_dir, "listings"), ["comune", "description", "address_raw"]))
+    found = find_personal(current_state(load(spark, sf_dir, "listings"), ["comune", "description", "address_raw", "agency_name"]))
     return found.select("rec", F.explode("found").alias("f")).select("rec", "f.field", "f.kind", "f.span_start")
 
 
