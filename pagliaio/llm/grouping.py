@@ -25,11 +25,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagliaio.session import cut_lineage
+from pagliaio.session import cut_lineage, shuffle_width
 
-#: Edges a cell is sized for; the grid grows with the number of edges and shrinks with the rounds.
-#: The last rounds, with fewer edges than this, are one cell.
-EDGES_PER_CELL = 250_000
+#: Edges that a cell holds at most, and at least before the grid gets another one: between the two there
+#: are as many cells as the session has shuffle partitions, so every core has one.
+MOST_EDGES, LEAST_EDGES = 250_000, 500
+
+
+def grid_side(edges: int, width: int, most: int = MOST_EDGES, least: int = LEAST_EDGES) -> int:
+    """Blocks of vertices: their square is the number of cells."""
+    return max(1, math.ceil(math.sqrt(max(edges / most, min(width, edges / least)))))
 
 
 def _order_key(col: str):
@@ -69,7 +74,7 @@ def _local_union_find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
         yield pd.DataFrame({"x": [names[i] for i in part], "r": [names[find(i)] for i in part]})
 
 
-def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60, edges_per_cell: int | None = None) -> DataFrame:
+def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 60, most_edges: int = MOST_EDGES, least_edges: int = LEAST_EDGES) -> DataFrame:
     """``member, group_id``: every linked vertex with the least member of its group.
 
     Edges may repeat, loop and run in either direction. Rows with a NULL end link
@@ -90,8 +95,10 @@ def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_ro
     while count:
         if len(parents) == max_rounds:
             raise RuntimeError(f"parents are not stable after {max_rounds} rounds")
-        blocks = math.ceil(math.sqrt(count / (edges_per_cell or EDGES_PER_CELL)))
-        cells = current.repartition(blocks * blocks, F.pmod(F.hash("u"), F.lit(blocks)), F.pmod(F.hash("v"), F.lit(blocks)))
+        blocks = grid_side(count, shuffle_width(spark), most_edges, least_edges)
+        block = lambda c: F.pmod(F.hash(c), F.lit(blocks))
+        # The partition is the cell: one task has exactly one.
+        cells = current.repartitionById(blocks * blocks, block("u") * blocks + block("v"))
         local = cut_lineage(cells.mapInPandas(_local_union_find, "x string, r string"))
         best = cut_lineage(local.groupBy("x").agg(F.min("r").alias("p")))
         parents.append(best.where(F.col("p") != F.col("x")))
@@ -111,7 +118,7 @@ def connected_groups(edges: DataFrame, left: str = "u", right: str = "v", max_ro
         follow = resolved.select(F.col("x").alias("p"), F.col("p").alias("_root"))
         settled = resolved.join(earlier.select("x"), "x", "left_anti")
         resolved = cut_lineage(earlier.join(follow, "p", "left").select("x", F.coalesce("_root", "p").alias("p")).unionByName(settled))
-    name = lambda c: F.substring(F.col(c), 9, 1_000_000)
+    name = lambda c: F.substr(F.col(c), F.lit(9))
     members = resolved.select(name("x").alias("member"), F.col("p").alias("root")).unionByName(
         resolved.select(name("p").alias("member"), F.col("p").alias("root"))
     ).distinct()

@@ -16,6 +16,7 @@ import re
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,19 +38,27 @@ def _mend(m: re.Match) -> str:
         return m.group()
 
 
-def matching_words(text: str | None) -> str:
-    """Words in matching form, parted by single spaces: one look, no case, no accents, entities and broken encodings resolved."""
+def words_of(text: str | None) -> list[str]:
+    """Words in matching form: one look, no case, no accents, entities and broken encodings resolved."""
     if not text:
-        return ""
+        return []
     if "&" in text:
         text = html.unescape(text)
     text = one_form(text)
-    if not text.isascii():
+    plain = text.isascii()
+    if not plain:
         text = _BROKEN.sub(_mend, text)
-    text = re.sub(r"(?<=\w)-\s*\n\s*(?=\w)", "", text).casefold()
-    if not text.isascii():
+    if "-" in text and "\n" in text:
+        text = re.sub(r"(?<=\w)-\s*\n\s*(?=\w)", "", text)
+    text = text.lower() if plain else text.casefold()
+    if not plain:
         text = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
-    return " ".join(_WORD.findall(text))
+    return _WORD.findall(text)
+
+
+def matching_words(text: str | None) -> str:
+    """The words of ``words_of``, parted by single spaces."""
+    return " ".join(words_of(text))
 
 
 def matching_words_column(col: Column | str) -> Column:
@@ -82,12 +91,13 @@ def common_subsequence(item: list, hits: list[tuple[int, object]], low: int, hig
     return len(tails)
 
 
-#: Different words of the items that one pass over the corpus looks up; more items take more passes.
+#: Words of the items, counted once an item, that one pass over the corpus is to look up. Items are dealt to passes by
+#: hash, half of this to each on average.
 TERMS_PER_PASS = 500_000
 
 
-def _index(docs: DataFrame, vocabulary: dict[str, int], doc_id: str, text: str) -> DataFrame:
-    """``doc_id, pos, term``: per document the places and numbers of the words in ``vocabulary``."""
+def _index(docs: DataFrame, vocabulary: dict[str, int], doc_id: str, text: str, ready: bool) -> DataFrame:
+    """``doc_id, pos, term``: per document the places and numbers of the words in ``vocabulary``; ``ready`` texts are in matching form."""
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.pandas_udf("struct<pos:array<int>,term:array<int>>")
@@ -96,7 +106,7 @@ def _index(docs: DataFrame, vocabulary: dict[str, int], doc_id: str, text: str)
         for texts in batches:
             places, terms = [], []
             for text in texts:
-                ids = np.fromiter((number(w, -1) for w in matching_words(text).split(" ")), dtype=np.int32)
+                ids = np.array([number(w, -1) for w in (text.split(" ") if ready else words_of(text))], dtype=np.int32)
                 at = np.flatnonzero(ids >= 0)
                 places.append(at.astype(np.int32))
                 terms.append(ids[at])
@@ -123,22 +133,23 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
         .withColumn("n", F.size("w"))
     )
     tokens = cut_lineage(tokens.groupBy("item_id").agg(F.max(F.struct("n", "w")).alias("t")).select("item_id", "t.n", "t.w"))
-    n_terms = tokens.select(F.explode("w")).distinct().count()
-    passes = max(1, -(-n_terms // TERMS_PER_PASS))
-    parts = [_leaks_of(docs, tokens.where(F.pmod(F.hash("item_id"), F.lit(passes)) == k) if passes > 1 else tokens, doc_id, text, share) for k in range(passes)]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
+    total = tokens.agg(F.coalesce(F.sum(F.size(F.array_distinct("w"))), F.lit(0))).first()[0]
+    if total <= TERMS_PER_PASS:
+        return _leaks_of(docs, tokens, doc_id, text, share, False)
+    # Several passes read the corpus in matching form, which is made once.
+    ready = cut_lineage(docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), matching_words_column(text).alias("text")))
+    passes = -(-2 * total // TERMS_PER_PASS)
+    parts = [_leaks_of(ready, tokens.where(F.pmod(F.hash("item_id"), F.lit(passes)) == k), "doc_id", "text", share, True) for k in range(passes)]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _leaks_of(docs: DataFrame, tokens: DataFrame, doc_id: str, text: str, share: float) -> DataFrame:
+def _leaks_of(docs: DataFrame, tokens: DataFrame, doc_id: str, text: str, share: float, ready: bool) -> DataFrame:
     spark = docs.sparkSession
     words = sorted(r.w for r in tokens.select(F.explode("w").alias("w")).distinct().collect())  # bounded by the pass
     vocabulary = {w: i for i, w in enumerate(words)}
     numbers = spark.createDataFrame(pd.DataFrame({"word": words, "term": range(len(words))}), "word string, term int")
     spots = tokens.select("item_id", "n", F.posexplode("w").alias("ipos", "word")).join(F.broadcast(numbers), "word").drop("word")
-    index = cut_lineage(_index(docs, vocabulary, doc_id, text))
+    index = cut_lineage(_index(docs, vocabulary, doc_id, text, ready))
     counts = index.select(F.explode("term").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.coalesce("df", F.lit(0)), "ipos"))
     half = F.ceil(F.col("n") * F.lit(share)).cast("int")
@@ -172,6 +183,9 @@ def _leaks_of(docs: DataFrame, tokens: DataFrame, doc_id: str, text: str, share:
     cut = F.filter(packed, lambda h: (h >= F.col("lo").cast("long") * F.lit(1 << 31)) & (h < F.col("hi").cast("long") * F.lit(1 << 31)))
     coded = spots.groupBy("item_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ipos", "term"))), lambda x: x["term"]).alias("w"))
     windows = near.select("doc_id", "item_id", "n", "lo", cut.alias("hits")).join(broadcast_if_small(coded), "item_id")
+    # The item's words that the band doesn't hold are in no common subsequence: most bands end here.
+    there = F.col("n") - F.size(F.array_except("w", F.transform("hits", lambda h: h.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))))
+    windows = windows.where(there >= F.col("n") * F.lit(share))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

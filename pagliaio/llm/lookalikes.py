@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagliaio.session import cut_lineage
+
 # Letters of other scripts that look like a Latin letter, with that letter.
 LOOKALIKES = {
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "У": "Y", "Ү": "Y", "Х": "X", "Ԛ": "Q", "Ԝ": "W", "Ѵ": "V", "Ӏ": "I",
@@ -24,6 +26,8 @@ LOOKALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
     "ο": "o", "ν": "v", "ρ": "p", "ι": "i", "υ": "u", "χ": "x", "ϲ": "c", "ϳ": "j",
     "Օ": "O", "օ": "o", "Ս": "U", "ս": "u", "ո": "n", "հ": "h", "ց": "g", "ɑ": "a", "ɡ": "g", "ı": "i", "ɩ": "i", "K": "K", "Å": "Å",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
 }
 # Spaces that show as a space, characters that don't show, hyphens that show as "-".
 SPACES = "\t               　"
@@ -31,11 +35,22 @@ INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤
 HYPHENS = "‐‑"
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
 
-_MARKS = "̀-ͯ᪰-᫿᷀-᷿⃐-⃿"
+_MARKS = "̀-ͯ᪰-᫿᷀-᷿⃐-⃿\u3099\u309a\uff9e\uff9f"
+#: Characters of the blocks that Unicode itself defines as another character in a certain width or typeface,
+#: or as Roman numerals written with letters.
+_STYLED = [(0x2100, 0x2150), (0x2160, 0x2180), (0xFF01, 0xFFEF), (0x1D400, 0x1D800), (0x1FBF0, 0x1FBFA)]
+
+
+def _plain_form(ch: str) -> str:
+    """The character that ``ch`` is in full or half width, or in a mathematical typeface; itself otherwise."""
+    kind, _, codes = unicodedata.decomposition(ch).partition(" ")
+    if kind in ("<wide>", "<narrow>", "<font>") or kind == "<compat>" and 0x2160 <= ord(ch) < 0x2180:
+        return "".join(chr(int(c, 16)) for c in codes.split())
+    return ch
 
 
 def _base(ch: str) -> str:
-    return LOOKALIKES.get(ch, chr(ord(ch) - 0xFEE0) if "！" <= ch <= "～" else ch)
+    return LOOKALIKES.get(ch) or "".join(LOOKALIKES.get(c, c) for c in _plain_form(ch))
 
 
 def _cluster(text: str) -> str:
@@ -59,8 +74,10 @@ def compile_table() -> dict[str, str]:
         put(ch, "-")
     for source, target in (LOOKALIKES | LIGATURES).items():
         put(source, unicodedata.normalize("NFC", target))
-    for code in range(0xFF01, 0xFF5F):
-        put(chr(code), chr(code - 0xFEE0))
+    for low, high in _STYLED:
+        for ch in map(chr, range(low, high)):
+            if ch not in table and (target := unicodedata.normalize("NFC", _base(ch))) != ch:
+                put(ch, target)
     put("\r\n", "\n")
     for low, high in ((0xC0, 0x250), (0x370, 0x530), (0x1E00, 0x2000)):  # precomposed letters over a mapped base
         for code in range(low, high):
@@ -118,7 +135,8 @@ def look_alike_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     string with many copies is never compared with itself.
     """
     forms = docs.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc"), F.col(text).alias("t"), one_form_column(text).alias("f"))
-    digests = forms.where(F.trim(F.regexp_replace("f", r"\s+", " ")) != "").select("doc", F.sha2("t", 256).alias("t"), F.sha2("f", 256).alias("f"))
+    # The corpus is read and rewritten once: what follows works on the digests.
+    digests = cut_lineage(forms.where(F.trim(F.regexp_replace("f", r"\s+", " ")) != "").select("doc", F.sha2("t", 256).alias("t"), F.sha2("f", 256).alias("f")))
     # A form with one string has least = greatest: most documents end here, map-side.
     mixed = digests.groupBy("f").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where(F.col("lo") != F.col("hi")).select("f")
     members = digests.join(mixed, "f", "left_semi").distinct()

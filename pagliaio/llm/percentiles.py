@@ -3,8 +3,9 @@
 Every partition proposes the median of what is left of each group; the weighted
 median of the proposals becomes the pivot; all rows are counted three ways against
 it; ranges without a wanted rank are discarded; and so on until every wanted rank
-is found. A group whose remainder is small is finished by sorting it. The results
-are exact order statistics. The rows left shrink by a constant factor a round.
+is found. What is left of a group is sorted once it is down to a sixty-fourth of the
+group. The results are exact order statistics. The rows left shrink by a constant
+factor a round.
 
 For combination over days or other portions, a portion's order statistics on a
 grid of ``1/error`` ranks are its summary; merged summaries answer any percentile
@@ -14,6 +15,7 @@ with a rank error of at most ``error`` times the number of all rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,10 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagliaio.session import cut_lineage
-from pagliaio.tables import broadcast_if_small
+from pagliaio.tables import BROADCAST_ROWS
 
-#: Remainders up to this many rows are sorted instead of searched further.
-FINISH_ROWS = 4096
+#: A remainder is sorted once it is at most this share of its group, or at most so many rows (a task's worth),
+#: whichever is less, and in any case when no more than the least number is left.
+FINISH_SHARE, FINISH_MOST, FINISH_LEAST = 1 / 64, 100_000, 8
 
 
 def _propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,41 +46,50 @@ def _propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(rows, columns=["g", "node", "m", "w"])
 
 
-def multi_select(values: DataFrame, targets: DataFrame, finish_rows: int = FINISH_ROWS, max_rounds: int = 200) -> DataFrame:
+def multi_select(values: DataFrame, targets: DataFrame, finish_share: float = FINISH_SHARE, max_rounds: int = 200, stats: dict | None = None) -> DataFrame:
     """``g, rank, value``: the ``rank``-th smallest (from 0) ``v`` of group ``g``.
 
     ``values`` has ``g string, v double`` without NULLs, ``targets`` ``g string, rank long``.
     Ranks outside the group give no row. Repeated values are counted, not searched.
+    ``stats`` gets the number of pivot rounds.
     """
     spark = values.sparkSession
+    key = ["g", "node"]
     rest = cut_lineage(values.select("g", F.lit("").alias("node"), "v"))
-    active = cut_lineage(targets.select("g", "rank").distinct().select("g", F.lit("").alias("node"), "rank", F.col("rank").alias("rel")))
-    found = spark.createDataFrame([], "g string, rank long, value double")
-    for _ in range(max_rounds):
-        sizes = rest.groupBy("g", "node").agg(F.count("*").alias("n"))
-        small = cut_lineage(sizes.join(broadcast_if_small(active.select("g", "node").distinct()), ["g", "node"], "left_semi"))
-        ends = small.where(F.col("n") <= finish_rows).select("g", "node")
-        by_value = Window.partitionBy("g", "node").orderBy("v")
-        sorted_ = rest.join(broadcast_if_small(ends), ["g", "node"], "left_semi").withColumn("rel", F.row_number().over(by_value).cast("long") - 1)
-        found = cut_lineage(found.unionByName(sorted_.join(broadcast_if_small(active), ["g", "node", "rel"]).select("g", "rank", F.col("v").alias("value"))))
-        goes_on = cut_lineage(small.where(F.col("n") > finish_rows).select("g", "node"))
-        if goes_on.isEmpty():
-            return found
-        large = rest.join(broadcast_if_small(goes_on), ["g", "node"], "left_semi")
-        pivots = large.mapInPandas(_propose, "g string, node string, m double, w long").groupBy("g", "node").agg(F.expr("percentile(m, 0.5, w)").alias("p"))
-        pivots = cut_lineage(pivots)
-        cut = large.join(broadcast_if_small(pivots), ["g", "node"])
-        counts = cut_lineage(cut.groupBy("g", "node").agg(F.first("p").alias("p"), F.count_if(F.col("v") < F.col("p")).alias("lt"), F.count_if(F.col("v") == F.col("p")).alias("eq"), F.count("*").alias("n")))
-        aimed = active.join(broadcast_if_small(counts), ["g", "node"]).where((F.col("rel") >= 0) & (F.col("rel") < F.col("n")))
+    sizes = rest.groupBy("g").agg(F.count("*").alias("n"))
+    finish = F.greatest(F.least(F.col("n") * F.lit(finish_share), F.lit(FINISH_MOST)), F.lit(FINISH_LEAST)).cast("long").alias("finish")
+    # Every open rank with the range (node) of its group that holds it, its rank in there and the range's rows.
+    active = targets.select("g", "rank").distinct().join(sizes, "g").where((F.col("rank") >= 0) & (F.col("rank") < F.col("n")))
+    active = cut_lineage(active.select("g", F.lit("").alias("node"), "rank", F.col("rank").alias("rel"), "n", finish))
+    found = [spark.createDataFrame([], "g string, rank long, value double")]
+    small = F.col("n") <= F.col("finish")
+    for done in range(max_rounds):
+        nodes, ending, going = active.agg(F.count_distinct("g", "node"), F.count_if(small), F.count_if(~small)).first()
+        hint = F.broadcast if nodes <= BROADCAST_ROWS else lambda df: df
+        if ending:
+            order = Window.partitionBy(*key).orderBy("v")
+            sorted_ = rest.join(hint(active.where(small).select(*key).distinct()), key, "left_semi").withColumn("rel", F.row_number().over(order).cast("long") - 1)
+            found.append(cut_lineage(sorted_.join(hint(active.where(small)), [*key, "rel"]).select("g", "rank", F.col("v").alias("value"))))
+        if not going:
+            if stats is not None:
+                stats["rounds"] = done
+            return reduce(DataFrame.unionByName, found)
+        live = active.where(~small)
+        large = rest.join(hint(live.select(*key).distinct()), key, "left_semi")
+        proposals = cut_lineage(large.mapInPandas(_propose, "g string, node string, m double, w long"))
+        pivots = proposals.groupBy(*key).agg(F.expr("percentile(m, 0.5, w)").alias("p"))
+        cut = large.join(hint(pivots), key)
+        counts = cut.groupBy(*key).agg(F.first("p").alias("p"), F.count_if(F.col("v") < F.col("p")).alias("lt"), F.count_if(F.col("v") == F.col("p")).alias("eq"))
+        aimed = cut_lineage(live.join(hint(counts), key))
         hit = (F.col("rel") >= F.col("lt")) & (F.col("rel") < F.col("lt") + F.col("eq"))
-        found = cut_lineage(found.unionByName(aimed.where(hit).select("g", "rank", F.col("p").alias("value"))))
-        left = F.col("rel") < F.col("lt")
-        active = cut_lineage(
-            aimed.where(~hit).select("g", F.concat("node", F.when(left, "L").otherwise("R")).alias("node"), "rank", F.when(left, F.col("rel")).otherwise(F.col("rel") - F.col("lt") - F.col("eq")).alias("rel"))
-        )
+        found.append(aimed.where(hit).select("g", "rank", F.col("p").alias("value")))
+        left, upto = F.col("rel") < F.col("lt"), F.col("lt") + F.col("eq")
+        moved = aimed.where(~hit).withColumn("node", F.concat("node", F.when(left, "L").otherwise("R")))
+        active = cut_lineage(moved.select("g", "node", "rank", F.when(left, F.col("rel")).otherwise(F.col("rel") - upto).alias("rel"), F.when(left, F.col("lt")).otherwise(F.col("n") - upto).alias("n"), "finish"))
+        at = aimed.select(*key, "p").distinct()
         side = F.when(F.col("v") < F.col("p"), "L").when(F.col("v") > F.col("p"), "R")
-        moved = cut.withColumn("side", side).where(F.col("side").isNotNull()).select("g", F.concat("node", "side").alias("node"), "v")
-        rest = cut_lineage(moved.join(broadcast_if_small(active.select("g", "node").distinct()), ["g", "node"], "left_semi"))
+        parted = large.join(hint(at), key).withColumn("side", side).where(F.col("side").isNotNull()).select("g", F.concat("node", "side").alias("node"), "v")
+        rest = cut_lineage(parted.join(hint(active.select(*key).distinct()), key, "left_semi"))
     raise RuntimeError(f"not all ranks were found in {max_rounds} rounds")
 
 

@@ -2,8 +2,7 @@ import random
 
 import pytest
 
-from pagliaio.llm import grouping
-from pagliaio.llm.grouping import connected_groups, small_key_links, star_links
+from pagliaio.llm.grouping import connected_groups, grid_side, small_key_links, star_links
 
 
 def brute(edges):
@@ -22,9 +21,9 @@ def brute(edges):
     return {x: find(x) for x in parent}
 
 
-def groups(spark, edges, cell=None):
+def groups(spark, edges, cell=250_000):
     df = spark.createDataFrame(edges, "u string, v string, member string, x int")
-    return {r.member: r.group_id for r in connected_groups(df, edges_per_cell=cell).collect()}
+    return {r.member: r.group_id for r in connected_groups(df, most_edges=cell, least_edges=min(cell, 500)).collect()}
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -38,6 +37,10 @@ def test_random_graphs_chains_and_hubs(spark, seed):
     assert groups(spark, rows) == groups(spark, rows, cell=20) == brute(edges)
 
 
+def test_grid_follows_cores_and_edges():
+    assert [grid_side(n, 12) for n in (0, 400, 3_800, 38_000, 10**7, 10**10)] == [1, 1, 3, 4, 7, 200]
+
+
 def test_empty_and_loops_only(spark):
     assert groups(spark, []) == {}
     assert groups(spark, [("a", "a", None, None)]) == {}

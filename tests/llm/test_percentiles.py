@@ -7,16 +7,17 @@ import pytest
 from pagliaio.llm.percentiles import exact_percentiles, merge_summaries, multi_select, summarize
 
 
-@pytest.mark.parametrize("finish", [1, 40])
-def test_ranks_of_skewed_groups(spark, finish):
-    rnd = random.Random(finish)
+@pytest.mark.parametrize("finish, rounds", [(0.0, 5), (1 / 16, 4), (1.0, 0)])
+def test_ranks_of_skewed_groups(spark, finish, rounds):
+    rnd = random.Random(rounds)
     rows = [("hot", float(rnd.choice([1, 2, 5, rnd.gauss(0, 100)]))) for _ in range(900)] + [("few", 3.0)] * 60 + [("x", float(i)) for i in range(50)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     by = {g: sorted(v for h, v in rows if h == g) for g in ("hot", "few", "x")}
     want = {(g, r): by[g][r] for g in by for r in {0, len(by[g]) // 3, len(by[g]) // 2, len(by[g]) - 1}}
     targets = spark.createDataFrame([*want, ("hot", 10_000), ("none", 0)], "g string, rank long")
-    got = {(r.g, r.rank): r.value for r in multi_select(df, targets, finish_rows=finish).collect()}
-    assert got == want
+    stats = {}
+    got = {(r.g, r.rank): r.value for r in multi_select(df, targets, finish, stats=stats).collect()}
+    assert got == want and stats["rounds"] >= rounds and (rounds or not stats["rounds"])
 
 
 def test_percentiles_with_nulls_and_clashing_names(spark):
