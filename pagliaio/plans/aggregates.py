@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagliaio.functions.text import area_key, fold_accents, public_street
+from pagliaio.operators.quantiles import quantiles
 from pagliaio.plans.joins import _CLUSTERS, _cascade, _cascade_sql, clusters
 from pagliaio.plans.offers import _STREET6, AREA, FOLD
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
@@ -28,17 +29,19 @@ _Q = ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.9, "p90"))
 
 @plan.query("agg_01", f"WITH {_UNIT} SELECT area, typ, grouping(area)::INT AS all_areas, grouping(typ)::INT AS all_types, count(*) AS n, " + ", ".join(f"{half_up_sql(f'quantile_cont(x, {q})')} AS {a}" for q, a in _Q) + " FROM u GROUP BY GROUPING SETS ((), (area), (typ), (area, typ))")
 def agg_01(spark, d):
-    """Quartiles and ninth decile of the unit price, over all, by area, by type and by both in one pass of grouping sets."""
-    u = units(spark, d)
-    u.createOrReplaceTempView("agg_01_units")
-    quantiles = ", ".join(f"floor(percentile(x, {q}) * 10e0 + 0.5e0) / 10e0 AS {a}" for q, a in _Q)
-    return spark.sql(f"SELECT area, typ, cast(grouping(area) AS int) AS all_areas, cast(grouping(typ) AS int) AS all_types, count(*) AS n, {quantiles} FROM agg_01_units GROUP BY GROUPING SETS ((), (area), (typ), (area, typ))")
+    """Quartiles and ninth decile of the unit price, over all, by area, by type and by both: every row counts in four groups."""
+    sets = F.explode(F.array(*[F.struct((F.col("area") if by_area else F.lit(None).cast("string")).alias("area"), (F.col("typ") if by_type else F.lit(None).cast("string")).alias("typ"), F.lit(1 - by_area).alias("all_areas"), F.lit(1 - by_type).alias("all_types")) for by_area in (0, 1) for by_type in (0, 1)]))
+    g = quantiles(units(spark, d).select("x", sets.alias("s")).select("x", "s.*"), ["area", "typ", "all_areas", "all_types"], "x", {a: q for q, a in _Q})
+    return g.select("area", "typ", "all_areas", "all_types", "n", *[half_up(F.col(a)).alias(a) for _, a in _Q])
 
 
 @plan.query("agg_02", f"WITH {_UNIT} SELECT area, count(*) AS n, count(y) AS n_weighted, {half_up_sql('median(x)')} AS net, {half_up_sql('median(y)')} AS weighted FROM u GROUP BY area")
 def agg_02(spark, d):
     """Both size bases side by side."""
-    return units(spark, d).groupBy("area").agg(F.count("*").alias("n"), F.count("y").alias("n_weighted"), half_up(F.median("x")).alias("net"), half_up(F.median("y")).alias("weighted"))
+    sides = F.explode(F.array(F.struct(F.lit("net").alias("side"), F.col("x").alias("v")), F.struct(F.lit("weighted").alias("side"), F.col("y").alias("v"))))
+    g = quantiles(units(spark, d).select("area", sides.alias("s")).select("area", "s.*"), ["area", "side"], "v", {"m": 0.5})
+    one = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    return g.groupBy("area").agg(one("net", "n").alias("n"), one("weighted", "n").alias("n_weighted"), half_up(one("net", "m")).alias("net"), half_up(one("weighted", "m")).alias("weighted"))
 
 
 @plan.query("agg_03", f"WITH {_UNIT} SELECT area, {half_up_sql('avg((x > 1000)::INT) * 100')} AS share FROM u GROUP BY area")
@@ -74,7 +77,8 @@ def agg_06(spark, d):
 def agg_10(spark, d):
     """How far the weighted size lies above the net one."""
     gap = (F.col("mqc") - F.col("mq")) / F.col("mq") * 100
-    return units(spark, d).where("mqc IS NOT NULL").agg(F.count("*").alias("n"), half_up(F.median(gap)).alias("p50"), half_up(F.percentile(gap, 0.9)).alias("p90"))
+    g = quantiles(units(spark, d).where("mqc IS NOT NULL").select(gap.alias("gap")), [], "gap", {"p50": 0.5, "p90": 0.9})
+    return g.select("n", half_up(F.col("p50")).alias("p50"), half_up(F.col("p90")).alias("p90"))
 
 
 @plan.query("agg_11", f"SELECT how, count(*) AS n FROM ({_cascade_sql('typology')}) GROUP BY how")
@@ -111,7 +115,9 @@ def agg_15(spark, d):
     """Disagreements summed up by axis."""
     x = differences(spark, d)
     spread = F.when(F.col("p_hi") > F.col("p_lo"), (F.col("p_hi") - F.col("p_lo")).cast("double") / F.col("p_lo") * 100)
-    return x.agg(F.count("*").alias("clusters"), F.count_if(F.col("p_hi") > F.col("p_lo")).alias("by_price"), F.count_if(F.col("m_hi") > F.col("m_lo")).alias("by_size"), F.count_if(F.col("types") > 1).alias("by_type"), half_up(F.median(spread)).alias("p50_spread"), F.sum("withheld").alias("withheld"))
+    middle = quantiles(x.select(spread.alias("spread")), [], "spread", {"p50": 0.5}).select(half_up(F.col("p50")).alias("p50_spread"))
+    counts = x.agg(F.count("*").alias("clusters"), F.count_if(F.col("p_hi") > F.col("p_lo")).alias("by_price"), F.count_if(F.col("m_hi") > F.col("m_lo")).alias("by_size"), F.count_if(F.col("types") > 1).alias("by_type"), F.sum("withheld").alias("withheld"))
+    return counts.join(F.broadcast(middle))  # one row each
 
 
 @plan.query("agg_16", f"WITH {_DIFF} SELECT *, CASE WHEN p_hi > p_lo THEN {half_up_sql('(p_hi - p_lo)::DOUBLE / p_lo * 100')} END AS price_pct, CASE WHEN m_hi > m_lo THEN {half_up_sql('(m_hi - m_lo)::DOUBLE / m_lo * 100')} END AS size_pct FROM x")
@@ -139,14 +145,17 @@ def agg_18(spark, d):
 @plan.query("agg_19", f"WITH {_UNIT} SELECT area, count(*) AS n, median(price) AS price, {half_up_sql('median(x)')} AS unit, CAST(floor(median(dom_est)) AS INTEGER) AS age FROM u GROUP BY area")
 def agg_19(spark, d):
     """Area statistics."""
-    return units(spark, d).groupBy("area").agg(F.count("*").alias("n"), F.median("price").alias("price"), half_up(F.median("x")).alias("unit"), F.floor(F.median("dom_est")).cast("int").alias("age"))
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).cast("double").alias("v")) for c in ("price", "x", "dom_est")]))
+    g = quantiles(units(spark, d).select("area", sides.alias("s")).select("area", "s.*"), ["area", "side"], "v", {"m": 0.5})
+    one = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    return g.groupBy("area").agg(one("price", "n").alias("n"), one("price", "m").alias("price"), half_up(one("x", "m")).alias("unit"), F.floor(one("dom_est", "m")).cast("int").alias("age"))
 
 
 @plan.query("agg_20", f"WITH {_UNIT}, b AS (SELECT {AREA('comune')} AS area, min(min_eur_m2) AS lo, max(max_eur_m2) AS hi FROM omi_bands WHERE tipologia <> 'Box' AND max_eur_m2 > 10 GROUP BY 1), a AS (SELECT area, median(x) AS m FROM u GROUP BY area) SELECT area, {half_up_sql('m')} AS asked, lo, hi, CASE WHEN lo IS NULL THEN 'none' WHEN m > hi THEN 'above' WHEN m < lo THEN 'below' ELSE 'inside' END AS cue FROM a LEFT JOIN b USING (area)")
 def agg_20(spark, d):
     """Median asked price against the official range of the area."""
     b = load(spark, d, "omi_bands").where("tipologia <> 'Box' AND max_eur_m2 > 10").groupBy(area_key(F.col("comune")).alias("area")).agg(F.min("min_eur_m2").alias("lo"), F.max("max_eur_m2").alias("hi"))
-    a = units(spark, d).groupBy("area").agg(F.median("x").alias("m"))
+    a = quantiles(units(spark, d), ["area"], "x", {"m": 0.5})
     cue = F.when(F.col("lo").isNull(), "none").when(F.col("m") > F.col("hi"), "above").when(F.col("m") < F.col("lo"), "below").otherwise("inside")
     return a.join(b, "area", "left").select("area", half_up(F.col("m")).alias("asked"), "lo", "hi", cue.alias("cue"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagliaio.functions.text import area_key, hash_bits, plain_url, street_joined
 from pagliaio.operators.graph import components
+from pagliaio.operators.quantiles import quantiles
 from pagliaio.operators.similarity import near_hashes
 from pagliaio.plans.offers import AREA, FOLD, URL
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
@@ -467,4 +468,6 @@ def agg_13(spark, d):
     """Median unit price before and after keeping one of each duplicate group."""
     o = offers(spark, d).where("price > 0 AND mq > 0").select((F.col("price").cast("double") / F.col("mq")).alias("x"), "street", F.row_number().over(W.partitionBy("price", "street").orderBy("rec")).alias("k"))
     kept = F.when((F.col("k") == 1) | F.col("street").isNull(), F.col("x"))
-    return o.agg(half_up(F.median("x")).alias("before"), half_up(F.median(kept)).alias("after"))
+    sides = F.explode(F.array(F.struct(F.lit("before").alias("side"), F.col("x").alias("v")), F.struct(F.lit("after").alias("side"), kept.alias("v"))))
+    g = quantiles(o.select(sides.alias("s")).select("s.*"), ["side"], "v", {"m": 0.5})
+    return g.agg(*[half_up(F.max(F.when(F.col("side") == side, F.col("m")))).alias(side) for side in ("before", "after")])
