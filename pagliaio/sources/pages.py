@@ -154,7 +154,8 @@ def label_values(html: Column, labels: list[str]) -> dict[str, Column]:
 
 def segments(html: Column, marker: str) -> Column:
     """Cards of a page cut at a marker pattern: from one marker to the next; what stands before the first is none."""
-    return F.slice(F.split(F.regexp_replace(html, f"({marker})", "\u0001$1"), "\u0001", -1), 2, 100_000)
+    parts = F.split(F.regexp_replace(html, f"({marker})", "\u0001$1"), "\u0001", -1)
+    return F.slice(parts, F.lit(2), F.size(parts))
 
 
 def merge_windows(windows: DataFrame, key: str, pos: str, fields: list[str]) -> DataFrame:
