@@ -167,12 +167,21 @@ def agg_21(spark, d):
     return c.groupBy("cluster").agg(F.min_by("area", F.struct(-F.col("n"), "area")).alias("area"))
 
 
-@plan.query("agg_22", "WITH d AS (SELECT DISTINCT run FROM (SELECT left(seen_at, 7) AS run FROM price_history)), a AS (SELECT run, lead(run) OVER (ORDER BY run) AS nxt FROM d) SELECT count(*) AS n, min(run) AS first, max(run) AS last, count(nxt) AS gaps FROM a")
+_CURVE = "WITH r AS (SELECT left(first_seen, 7) AS month, max(TRY_CAST(source_id AS BIGINT)) AS id, min(CAST(left(first_seen, 10) AS DATE)) AS day FROM listings WHERE regexp_matches(first_seen, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(source_id AS BIGINT) >= 100000000 GROUP BY 1)"
+_RATES = f"{_CURVE}, g AS (SELECT id - lag(id) OVER w AS ids, day - lag(day) OVER w AS days FROM r WINDOW w AS (ORDER BY month)), m AS (SELECT ids, ids / (days / 30.44e0) AS rate, days FROM g WHERE ids IS NOT NULL)"
+
+
+@plan.query("agg_22", f"{_RATES} SELECT (SELECT count(*) FROM r) AS n, (SELECT min(id) FROM r) AS first_id, (SELECT max(id) FROM r) AS last_id, count(*) FILTER (abs(ids) >= 10000) AS gaps, {half_up_sql('(max(rate) FILTER (days >= 30.44e0) - min(rate) FILTER (days >= 30.44e0)) / abs(avg(rate) FILTER (days >= 30.44e0)) * 100')} AS spread FROM m")
 def agg_22(spark, d):
-    """Health of a sequence of anchors: how many, from when to when, gaps between them."""
-    runs = load(spark, d, "price_history").select(F.left("seen_at", F.lit(7)).alias("run")).distinct()
-    a = runs.withColumn("nxt", F.lead("run").over(W.orderBy("run")))  # one row a month
-    return a.agg(F.count("*").alias("n"), F.min("run").alias("first"), F.max("run").alias("last"), F.count("nxt").alias("gaps"))
+    """Health of a curve of anchors (the greatest number of each month): how many, from where to where, wide gaps, and
+    how much the monthly rate varies; spans of under a month are no rate."""
+    rows = load(spark, d, "listings").where(F.col("first_seen").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}")).select(F.left("first_seen", F.lit(7)).alias("month"), F.col("source_id").try_cast("long").alias("id"), F.left("first_seen", F.lit(10)).cast("date").alias("day")).where("id >= 100000000")
+    r = rows.groupBy("month").agg(F.max("id").alias("id"), F.min("day").alias("day"))
+    order = W.orderBy("month")  # one row a month
+    g = r.select("id", (F.col("id") - F.lag("id").over(order)).alias("ids"), F.datediff("day", F.lag("day").over(order)).alias("days"))
+    rate = F.when(F.col("days") >= 30.44, F.col("ids") / (F.col("days") / F.lit(30.44)))
+    a = g.withColumn("rate", rate).agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count_if(F.abs("ids") >= 10000).alias("gaps"), F.max("rate").alias("hi"), F.min("rate").alias("lo"), F.avg("rate").alias("mean"))
+    return a.select("n", "first_id", "last_id", "gaps", half_up((F.col("hi") - F.col("lo")) / F.abs("mean") * 100).alias("spread"))
 
 
 @plan.query("agg_23", f"WITH {LISTINGS} SELECT coalesce(zona_guess, '-') AS guess, count(*) FILTER (left(zona_poly, 1) = 'B') AS b, count(*) FILTER (left(zona_poly, 1) = 'C') AS c, count(*) FILTER (left(zona_poly, 1) = 'D') AS d, count(*) FILTER (left(zona_poly, 1) = 'R') AS r, count(*) FILTER (zona_poly IS NULL) AS none FROM l GROUP BY 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from pagliaio.operators.quantiles import quantiles
 from pagliaio.operators.similarity import near_hashes
 from pagliaio.plans.offers import AREA, FOLD, URL
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
+from pagliaio.session import cut_lineage
 from pagliaio.tables import broadcast_if_small, load, rec_name
 
 plan = Plan()
@@ -161,28 +163,41 @@ def joi_07(spark, d):
     return a.join(reach, "h1").join(b, "h2").where("rec_a < rec_b").groupBy("rec_a", "rec_b").agg(F.countDistinct("h1").alias("shared"))
 
 
-_CLAIMS = f"""s AS (SELECT DISTINCT url, {AREA('comune')} AS area, price, mq FROM agency_site_listings WHERE coalesce(is_rent, 0) = 0 AND price > 0),
-    c AS (SELECT s.url, o.rec, s.mq AS m1, o.mq AS m2 FROM s JOIN o ON s.price = o.price AND (s.area = o.area OR s.area = '' OR o.area = '')),
-    e AS (SELECT url, rec, CASE WHEN m1 > 0 AND m2 > 0 THEN CASE WHEN abs(m1 - m2) <= 0.15 * greatest(m1, m2) THEN 'price+surface' END
-            WHEN count(*) OVER (PARTITION BY url) = 1 AND count(*) OVER (PARTITION BY rec) = 1 THEN 'price' END AS route, coalesce(m1 = m2, FALSE) AS exact FROM c),
+_CLAIMS = f"""s AS (SELECT DISTINCT site, url, lower(trim(ref)) AS ref, {AREA('comune')} AS area, price, mq FROM agency_site_listings WHERE coalesce(is_rent, 0) = 0),
+    w AS (SELECT source, lower(trim(agency_ref)) AS ref, min(rec) AS rec FROM l WHERE trim(agency_ref) <> '' GROUP BY ALL HAVING count(*) = 1),
+    rr AS (SELECT DISTINCT s.url, w.rec FROM s JOIN w ON w.source = 'ag-' || split_part(s.site, '.', 1) AND w.ref = s.ref),
+    c AS (SELECT DISTINCT s.url, o.rec, s.mq AS m1, o.mq AS m2 FROM s JOIN o ON s.price = o.price AND s.price > 0 AND (s.area = o.area OR s.area = '' OR o.area = '') WHERE o.rec NOT IN (SELECT rec FROM rr)),
+    e AS (SELECT url, rec, CASE WHEN m1 > 0 AND m2 > 0 THEN CASE WHEN abs(m1 - m2) <= 0.15 * greatest(m1, m2) THEN 'price+surface+comune' END
+            WHEN count(*) OVER (PARTITION BY url) = 1 AND count(*) OVER (PARTITION BY rec) = 1 THEN 'price+comune' END AS route, coalesce(m1 = m2, FALSE) AS exact FROM c),
     f AS (SELECT *, count(*) OVER (PARTITION BY url) AS nu, count(*) OVER (PARTITION BY rec) AS nr, count(*) FILTER (exact) OVER (PARTITION BY url) AS xu, count(*) FILTER (exact) OVER (PARTITION BY rec) AS xr FROM e WHERE route IS NOT NULL)"""
 
 
-@plan.query("joi_09", f"WITH {_OFFERS}, {_CLAIMS} SELECT url, rec, route FROM f WHERE (nu = 1 AND nr = 1) OR (exact AND xu = 1 AND xr = 1)")
+@plan.query("joi_09", f"WITH {_OFFERS}, {_CLAIMS} SELECT url, rec, route FROM f WHERE (nu = 1 AND nr = 1) OR (exact AND xu = 1 AND xr = 1) UNION ALL SELECT url, rec, 'ref' FROM rr")
 def joi_09(spark, d):
-    """Pages and listings by price and size; a side claimed twice drops out unless one exact pair stands out."""
+    """Pages and listings by the site's own reference where one listing has it, else by price, area and size.
+
+    A side that is claimed twice drops out unless one exact pair stands out. Prices meet inside an area; only
+    rows without an area meet those of every area.
+    """
     o = offers(spark, d).select("rec", F.col("area").alias("o_area"), "price", F.col("mq").alias("m2"))
-    s = load(spark, d, "agency_site_listings").where("coalesce(is_rent, 0) = 0 AND price > 0").select("url", area_key(F.col("comune")).alias("area"), "price", F.col("mq").alias("m1")).distinct()
-    c = s.join(o, "price").where("area = o_area OR area = '' OR o_area = ''")
+    site = load(spark, d, "agency_site_listings").where("coalesce(is_rent, 0) = 0")
+    own = listings(spark, d, "agency_ref").where("trim(agency_ref) <> ''").groupBy("source", F.lower(F.trim("agency_ref")).alias("ref")).agg(F.count("*").alias("n"), F.min("rec").alias("rec")).where("n = 1")
+    named = site.select("url", F.concat(F.lit("ag-"), F.split_part("site", F.lit("."), F.lit(1))).alias("source"), F.lower(F.trim("ref")).alias("ref"))
+    by_ref = cut_lineage(named.join(own, ["source", "ref"]).select("url", "rec", F.lit("ref").alias("route")).distinct())
+    s = site.where("price > 0").select("url", area_key(F.col("comune")).alias("area"), "price", F.col("mq").alias("m1")).distinct()
+    o = o.where("price > 0").join(by_ref.select("rec").distinct(), "rec", "left_anti")
+    placed = s.where("area <> ''").join(o.withColumn("area", F.col("o_area")).where("o_area <> ''"), ["area", "price"])
+    loose = s.where("area = ''").join(o, "price").unionByName(s.where("area <> ''").join(o.where("o_area = ''"), "price"))
+    c = placed.select("url", "rec", "m1", "m2").unionByName(loose.select("url", "rec", "m1", "m2")).distinct()
     by_url, by_rec = W.partitionBy("url"), W.partitionBy("rec")
     sized = (F.col("m1") > 0) & (F.col("m2") > 0)
-    close = F.when(F.abs(F.col("m1") - F.col("m2")) <= F.lit(0.15) * F.greatest("m1", "m2"), "price+surface")
-    route = F.when(F.coalesce(sized, F.lit(False)), close).when((F.count("*").over(by_url) == 1) & (F.count("*").over(by_rec) == 1), "price")
+    close = F.when(F.abs(F.col("m1") - F.col("m2")) <= F.lit(0.15) * F.greatest("m1", "m2"), "price+surface+comune")
+    route = F.when(F.coalesce(sized, F.lit(False)), close).when((F.count("*").over(by_url) == 1) & (F.count("*").over(by_rec) == 1), "price+comune")
     e = c.select("url", "rec", route.alias("route"), F.coalesce(F.col("m1") == F.col("m2"), F.lit(False)).alias("exact")).where("route IS NOT NULL")
     one = lambda w: F.count("*").over(w) == 1
     single = lambda w: F.count_if("exact").over(w) == 1
     f = e.select("url", "rec", "route", ((one(by_url) & one(by_rec)) | (F.col("exact") & single(by_url) & single(by_rec))).alias("keep"))
-    return f.where("keep").select("url", "rec", "route")
+    return f.where("keep").select("url", "rec", "route").unionByName(by_ref)
 
 
 @plan.query(
@@ -207,49 +222,78 @@ def joi_10(spark, d):
     return a.join(b, on).select(F.col("a.rec").alias("rec_a"), F.col("b.rec").alias("rec_b"), score.alias("score")).where("score >= 3")
 
 
-# Zones as rings of (x, y), in order of precedence.
-ZONES = [("Z1", 1, [(3.05, 41.1), (3.25, 41.1), (3.25, 41.35), (3.05, 41.35)]), ("Z2", 2, [(3.0, 41.2), (3.4, 41.2), (3.2, 41.8)]), ("Z3", 3, [(2.5, 40.5), (4.0, 40.5), (4.0, 42.5), (2.5, 42.5)])]
+#: Zones of the query joi_11: code, order, outer ring and holes as corners (x, y).
+ZONES = [("Z1", 1, [(3.05, 41.1), (3.25, 41.1), (3.25, 41.35), (3.05, 41.35)], [[(3.1, 41.15), (3.2, 41.15), (3.15, 41.3)]]), ("Z2", 2, [(3.0, 41.2), (3.4, 41.2), (3.2, 41.8)], []), ("Z3", 3, [(2.5, 40.5), (4.0, 40.5), (4.0, 42.5), (2.5, 42.5)], [[(3.3, 41.0), (3.6, 41.0), (3.6, 41.4), (3.3, 41.4)]])]
+
+
+def zone_of(points: DataFrame, zones: DataFrame) -> DataFrame:
+    """``key, zone``: the first zone (by ord) that holds the point; ``points`` has key, area, lat and lon.
+
+    ``zones`` is what ``read_zones`` gives: comune, ord, zone_code, outer_ring, holes. A zone with a comune holds
+    points of that area only; holes are outside. Rays are cast at all rings alike, after the boxes have pruned.
+    """
+    corners = F.transform(F.concat(F.array("outer_ring"), F.coalesce("holes", F.array().cast("array<array<struct<x:double,y:double>>>"))), lambda ring: F.zip_with(ring, F.concat(F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1)), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))))
+    of = lambda c: F.transform("outer_ring", lambda p: p[c])
+    box = zones.where("size(outer_ring) > 2").select(F.col("zona_code").alias("code"), "ord", F.nullif(area_key(F.col("comune")), F.lit("")).alias("z_area"), F.flatten(corners).alias("edges"), F.array_min(of("x")).alias("xa"), F.array_max(of("x")).alias("xb"), F.array_min(of("y")).alias("ya"), F.array_max(of("y")).alias("yb"))
+    crosses = lambda e: ((e["y1"] > F.col("lat")) != (e["y2"] > F.col("lat"))) & F.coalesce(F.col("lon") < F.try_divide((e["x2"] - e["x1"]) * (F.col("lat") - e["y1"]), e["y2"] - e["y1"]) + e["x1"], F.lit(False))
+    inside = F.aggregate("edges", F.lit(False), lambda acc, e: acc != crosses(e))
+    near = F.col("lon").between(F.col("xa"), F.col("xb")) & F.col("lat").between(F.col("ya"), F.col("yb")) & (F.col("z_area").isNull() | (F.col("z_area") == F.col("area")))
+    hits = points.where("lat IS NOT NULL AND lon IS NOT NULL").join(broadcast_if_small(box), near).where(inside)
+    return hits.groupBy("key").agg(F.min_by("code", "ord").alias("zone"))
 
 
 @plan.query(
     "joi_11",
-    f"""WITH {LISTINGS}, e(code, ord, x1, y1, x2, y2) AS (VALUES {", ".join(f"('{c}', {o}, {a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for c, o, ring in ZONES for a, b in zip(ring, ring[1:] + ring[:1]))}),
+    f"""WITH {LISTINGS}, e(code, ord, x1, y1, x2, y2) AS (VALUES {", ".join(f"('{c}', {o}, {a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for c, o, outer, holes in ZONES for ring in [outer, *holes] for a, b in zip(ring, ring[1:] + ring[:1]))}),
     h AS (SELECT rec, code, ord, count(*) FILTER ((y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1) % 2 AS odd FROM l, e WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY ALL)
     SELECT rec, min_by(code, ord) AS zone FROM h WHERE odd = 1 GROUP BY rec""",
 )
 def joi_11(spark, d):
-    """Point in polygon by ray casting; of several zones the first counts."""
-    zones = spark.createDataFrame([(c, o, [{"x": float(x), "y": float(y)} for x, y in ring + ring[:1]]) for c, o, ring in ZONES], "code string, ord int, ring array<struct<x:double,y:double>>")
-    edges = F.zip_with(F.slice("ring", 1, F.size("ring") - 1), F.slice("ring", 2, F.size("ring") - 1), lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
-    box = zones.select("code", "ord", edges.alias("edges"), F.array_min(F.transform("ring", lambda p: p["x"])).alias("xa"), F.array_max(F.transform("ring", lambda p: p["x"])).alias("xb"), F.array_min(F.transform("ring", lambda p: p["y"])).alias("ya"), F.array_max(F.transform("ring", lambda p: p["y"])).alias("yb"))
-    points = listings(spark, d, "lat", "lon").where("lat IS NOT NULL AND lon IS NOT NULL")
-    inside = F.aggregate("edges", F.lit(False), lambda acc, e: acc != (((e["y1"] > F.col("lat")) != (e["y2"] > F.col("lat"))) & F.coalesce(F.col("lon") < F.try_divide((e["x2"] - e["x1"]) * (F.col("lat") - e["y1"]), e["y2"] - e["y1"]) + e["x1"], F.lit(False))))
-    # Three fixed zones; the boxes prune before the rays.
-    hits = points.join(F.broadcast(box), F.col("lon").between(F.col("xa"), F.col("xb")) & F.col("lat").between(F.col("ya"), F.col("yb"))).where(inside)
-    return hits.groupBy("rec").agg(F.min_by("code", "ord").alias("zone"))
+    """Point in polygon by ray casting; of several zones the first counts, holes are outside."""
+    corner = lambda ring: [{"x": float(x), "y": float(y)} for x, y in ring]
+    zones = spark.createDataFrame([(None, o, c, corner(outer), [corner(h) for h in holes]) for c, o, outer, holes in ZONES], "comune string, ord int, zona_code string, outer_ring array<struct<x:double,y:double>>, holes array<array<struct<x:double,y:double>>>")
+    points = listings(spark, d, "lat", "lon", "comune").select(F.col("rec").alias("key"), area_key(F.col("comune")).alias("area"), "lat", "lon")
+    return zone_of(points, zones).withColumnRenamed("key", "rec")
 
 
+#: Anchors of the query joi_12: a number and the day (since 1970) on which it was given out.
 ANCHORS = [(100_100_000, 19000), (100_300_000, 19200), (100_420_000, 19230), (100_700_000, 19800), (100_900_000, 20000)]
+#: Days that no estimate lies before, and spans of numbers from which on an estimate is no longer of high confidence.
+FIRST_DAY, WIDE_GAP = 12_784, 8_000_000
+
+
+def dated_ids(ids: DataFrame, anchors: DataFrame, as_of: int, wide_gap: int = WIDE_GAP, first_day: int = FIRST_DAY) -> DataFrame:
+    """``ids`` with day and confidence: between two anchors (id, day) on the line, cut to [first_day, as_of], high or medium
+    by the gap; up to the first and from the last only a bound is known. With fewer than two anchors neither."""
+    order = W.orderBy("id")
+    known = anchors.groupBy("id").agg(F.min("day").alias("day"))
+    spans = known.select(F.col("id").alias("x0"), F.col("day").alias("d0"), F.lead("id").over(order).alias("x1"), F.lead("day").over(order).alias("d1"), F.row_number().over(order).alias("k"))  # a hand-kept list
+    ends = known.agg(F.min_by("day", "id").alias("d_old"), F.max_by("day", "id").alias("d_new"), F.count("*").alias("n"))
+    j = ids.join(broadcast_if_small(spans), (F.col("id") >= F.col("x0")) & (F.col("x1").isNull() | (F.col("id") < F.col("x1"))), "left").join(F.broadcast(ends))  # one row
+    line = F.floor(F.col("d0") + (F.col("id") - F.col("x0")).cast("double") * (F.col("d1") - F.col("d0")) / (F.col("x1") - F.col("x0"))).cast("int")
+    old, new = F.col("x0").isNull() | ((F.col("k") == 1) & (F.col("id") == F.col("x0"))), F.col("x1").isNull()
+    few = F.col("n") < 2
+    day = F.when(few | F.col("id").isNull(), None).when(old, F.col("d_old")).when(new, F.col("d_new")).otherwise(F.greatest(F.least(line, F.lit(as_of)), F.lit(first_day)))
+    sure = F.when(few | F.col("id").isNull(), "none").when(old, "bound_old").when(new, "bound_new").when(F.col("x1") - F.col("x0") < wide_gap, "high").otherwise("medium")
+    return j.select(*ids.columns, day.alias("day"), sure.alias("confidence"))
+
+
+#: As-of day and gap of the query: the numbers of the test tables lie close together.
+AS_OF, CLOSE_GAP = 19_900, 200_000
 
 
 @plan.query(
     "joi_12",
     f"""WITH {LISTINGS}, a(id, day) AS (VALUES {", ".join(f"({i}, {x})" for i, x in ANCHORS)}), n AS (SELECT id, day, lead(id) OVER (ORDER BY id) AS id2, lead(day) OVER (ORDER BY id) AS day2 FROM a),
-    q AS (SELECT rec, CAST(source_id AS BIGINT) AS id FROM l)
-    SELECT rec, CASE WHEN n.id IS NULL OR q.id = {ANCHORS[0][0]} THEN {ANCHORS[0][1]} WHEN n.id2 IS NULL THEN {ANCHORS[-1][1]} ELSE CAST(floor(n.day + (q.id - n.id)::DOUBLE * (n.day2 - n.day) / (n.id2 - n.id)) AS INTEGER) END AS day,
-      CASE WHEN n.id IS NULL OR q.id = {ANCHORS[0][0]} THEN 'bound_old' WHEN n.id2 IS NULL THEN 'bound_new' WHEN n.id2 - n.id < 200000 THEN 'high' ELSE 'medium' END AS confidence
+    q AS (SELECT rec, TRY_CAST(source_id AS BIGINT) AS id FROM l WHERE TRY_CAST(source_id AS BIGINT) IS NOT NULL)
+    SELECT rec, CASE WHEN n.id IS NULL OR q.id = {ANCHORS[0][0]} THEN {ANCHORS[0][1]} WHEN n.id2 IS NULL THEN {ANCHORS[-1][1]} ELSE greatest(least(CAST(floor(n.day + (q.id - n.id)::DOUBLE * (n.day2 - n.day) / (n.id2 - n.id)) AS INTEGER), {AS_OF}), {FIRST_DAY}) END AS day,
+      CASE WHEN n.id IS NULL OR q.id = {ANCHORS[0][0]} THEN 'bound_old' WHEN n.id2 IS NULL THEN 'bound_new' WHEN n.id2 - n.id < {CLOSE_GAP} THEN 'high' ELSE 'medium' END AS confidence
     FROM q ASOF LEFT JOIN n ON q.id >= n.id""",
 )
 def joi_12(spark, d):
     """Bracketing as-of with linear interpolation between anchors; outside them only a bound is known."""
-    anchors = spark.createDataFrame(ANCHORS, "id long, day int")
-    order = W.orderBy("id")
-    spans = anchors.select(F.col("id").alias("x0"), F.col("day").alias("d0"), F.lead("id").over(order).alias("x1"), F.lead("day").over(order).alias("d1"))
-    q = listings(spark, d).select("rec", F.col("source_id").cast("long").alias("id"))
-    j = q.join(F.broadcast(spans), (F.col("id") >= F.col("x0")) & (F.col("x1").isNull() | (F.col("id") < F.col("x1"))), "left")  # a handful of anchors
-    old, new = F.col("x0").isNull() | (F.col("id") == ANCHORS[0][0]), F.col("x1").isNull()
-    line = F.floor(F.col("d0") + (F.col("id") - F.col("x0")).cast("double") * (F.col("d1") - F.col("d0")) / (F.col("x1") - F.col("x0"))).cast("int")
-    return j.select("rec", F.when(old, ANCHORS[0][1]).when(new, ANCHORS[-1][1]).otherwise(line).alias("day"), F.when(old, "bound_old").when(new, "bound_new").when(F.col("x1") - F.col("x0") < 200000, "high").otherwise("medium").alias("confidence"))
+    ids = listings(spark, d).select("rec", F.col("source_id").try_cast("long").alias("id")).where("id IS NOT NULL")
+    return dated_ids(ids, spark.createDataFrame(ANCHORS, "id long, day int"), AS_OF, CLOSE_GAP).select("rec", "day", "confidence")
 
 
 _CLUSTERS = "k AS (SELECT url_alt AS cluster, list_sort(list(DISTINCT source || '/' || source_id)) AS members FROM url_alt GROUP BY url_alt)"
