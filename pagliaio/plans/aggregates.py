@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pagliaio.functions.text import area_key, fold_accents, public_street
 from pagliaio.operators.quantiles import quantiles
 from pagliaio.plans.joins import _CLUSTERS, _cascade, _cascade_sql, clusters
-from pagliaio.plans.offers import _STREET6, AREA, FOLD
+from pagliaio.plans.offers import _STREET6, AREA, AUCTION, FOLD
 from pagliaio.plans.registry import LISTINGS, Plan, half_up, half_up_sql, listings
 from pagliaio.tables import load, rec_name
 
@@ -268,19 +268,32 @@ def ext_04(spark, d):
     return members(spark, d, "dom_est").where("dom_est IS NOT NULL").groupBy("cluster").agg((F.max("dom_est") - F.min("dom_est")).alias("age_gap"))
 
 
-@plan.query("gate_07", f"WITH {_DIFF} SELECT cluster, CASE WHEN n < 2 THEN 'single' WHEN m_lo > 0 AND (m_hi - m_lo)::DOUBLE / m_lo > 2.0 THEN 'size' WHEN p_lo > 0 AND (p_hi - p_lo)::DOUBLE / p_lo > 5.0 THEN 'price' ELSE 'kept' END AS outcome FROM x")
+@plan.query(
+    "gate_07",
+    f"""WITH {_DIFF}, r AS (SELECT cluster, bool_and(regexp_matches(lower(trim(coalesce(agency_name, ''))), '{AUCTION}')) AS resold, bool_or(cluster_ref) AS ref FROM (SELECT m.*, coalesce(u.ref, FALSE) AS cluster_ref FROM m LEFT JOIN (SELECT source || '/' || source_id AS rec, url_alt AS cluster, bool_or(match_route = 'ref') AS ref FROM url_alt GROUP BY ALL) u USING (rec, cluster)) GROUP BY cluster),
+    y AS (SELECT *, coalesce((m_hi - m_lo)::DOUBLE / m_lo, 0) AS ms, coalesce((p_hi - p_lo)::DOUBLE / p_lo, 0) AS ps FROM x JOIN r USING (cluster))
+    SELECT cluster, CASE WHEN n < 2 THEN 'single' WHEN ps = 0 AND ms = 0 AND types < 2 AND areas < 2 THEN 'agreed' WHEN ms > 2.0 AND NOT ref THEN 'size' WHEN resold AND ms < 0.15 THEN 'reseller' WHEN ps > 5.0 THEN 'price' ELSE 'kept' END AS outcome FROM y""",
+)
 def gate_07(spark, d):
-    """Clusters whose spread says that they are no single item, in order of the guards."""
-    wide = lambda lo, hi, most: (F.col(lo) > 0) & ((F.col(hi) - F.col(lo)).cast("double") / F.col(lo) > most)
-    return differences(spark, d).select("cluster", F.when(F.col("n") < 2, "single").when(wide("m_lo", "m_hi", 2.0), "size").when(wide("p_lo", "p_hi", 5.0), "price").otherwise("kept").alias("outcome"))
-
-
-@plan.query("str_08", f"WITH {_MEMBERS}, s AS (SELECT cluster, regexp_replace(coalesce(address_raw, ''), '[,;].*$', '') AS label FROM m) SELECT cluster, min_by(label, (-length(label), label)) AS label FROM s WHERE label <> '' GROUP BY cluster")
+    """Clusters that are no disagreement about one item, in order of the guards: no difference, sizes too far apart
+    without a common reference, resellers of one auction that all but agree, prices too far apart."""
+    ref = load(spark, d, "url_alt").groupBy(rec_name().alias("rec"), F.col("url_alt").alias("cluster")).agg(F.bool_or(F.col("match_route") == "ref").alias("ref"))
+    m = members(spark, d, "agency_name").join(ref, ["rec", "cluster"], "left")
+    resold = F.lower(F.trim(F.coalesce("agency_name", F.lit("")))).rlike(AUCTION)
+    r = m.groupBy("cluster").agg(F.bool_and(resold).alias("resold"), F.bool_or(F.coalesce("ref", F.lit(False))).alias("ref"))
+    spread = lambda lo, hi: F.coalesce((F.col(hi) - F.col(lo)).cast("double") / F.col(lo), F.lit(0.0))
+    y = differences(spark, d).join(r, "cluster").withColumn("ms", spread("m_lo", "m_hi")).withColumn("ps", spread("p_lo", "p_hi"))
+    outcome = F.when(F.col("n") < 2, "single").when((F.col("ps") == 0) & (F.col("ms") == 0) & (F.col("types") < 2) & (F.col("areas") < 2), "agreed")
+    outcome = outcome.when((F.col("ms") > 2.0) & ~F.col("ref"), "size").when(F.col("resold") & (F.col("ms") < 0.15), "reseller").when(F.col("ps") > 5.0, "price").otherwise("kept")
+    return y.select("cluster", outcome.alias("outcome"))
+
+
+@plan.query("str_08", f"WITH {_MEMBERS}, s AS (SELECT cluster, {_STREET6} AS street, trim(coalesce(title, '')) AS title FROM m) SELECT cluster, coalesce(min_by(street, (-length(street), street)) FILTER (street <> ''), min_by(title, (-length(title), title)) FILTER (title <> ''), 'no address') AS label FROM s GROUP BY cluster")
 def str_08(spark, d):
-    """Best label of a cluster: the longest street, ties in alphabetical order."""
-    label = F.regexp_replace(F.coalesce("address_raw", F.lit("")), "[,;].*$", "")
-    s = members(spark, d, "address_raw").select("cluster", label.alias("label")).where("label <> ''")
-    return s.groupBy("cluster").agg(F.min_by("label", F.struct(-F.length("label"), "label")).alias("label"))
+    """Best label of a cluster: the longest public street, else the longest title, else a constant; ties in alphabetical order."""
+    longest = lambda c: F.min(F.when(F.col(c) != "", F.struct((-F.length(c)).alias("k"), F.col(c).alias("v"))))["v"]
+    s = members(spark, d, "address_raw", "title").select("cluster", public_street(F.col("address_raw")).alias("street"), F.trim(F.coalesce("title", F.lit(""))).alias("title"))
+    return s.groupBy("cluster").agg(F.coalesce(longest("street"), longest("title"), F.lit("no address")).alias("label"))
 
 
 _LABEL = f"coalesce(regexp_extract_all(regexp_replace(lower({FOLD('label')}), '[^a-z0-9]+', ' ', 'g'), '[a-z0-9]+')[1:4], [])"

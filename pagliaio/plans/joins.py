@@ -211,15 +211,23 @@ def joi_09(spark, d):
     SELECT * FROM s WHERE score >= 3""",
 )
 def joi_10(spark, d):
-    """Score match inside one street: price, size, rooms, type and floor add up to three or more."""
+    """Score match inside one street: price, size, rooms, type and floor add up to three or more.
+
+    Rooms, type and floor alone reach three only together; every other pair of that score is near in price (within
+    5 per cent) or size (within 15), so pairs meet in bands of these, or in equal rooms, type and floor.
+    """
     o = listings(spark, d, "comune", "address_raw", "price", "mq", "vani", "typology", "floor").select("rec", area_key(F.col("comune")).alias("area"), street_joined(F.col("address_raw")).alias("street"), F.col("price").cast("double").alias("p"), F.col("mq").cast("double").alias("m"), "vani", "typology", "floor")
-    a, b = o.alias("a"), o.alias("b")
     rel = lambda c: F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) / F.greatest(f"a.{c}", f"b.{c}")
     both = lambda c: (F.col(f"a.{c}") > 0) & (F.col(f"b.{c}") > 0)
     same = lambda c: F.coalesce((F.col(f"a.{c}") == F.col(f"b.{c}")).cast("int"), F.lit(0))
     score = F.when(both("p") & (rel("p") < 0.005), 3).when(both("p") & (rel("p") < 0.05), 1).otherwise(0) + F.when(both("m") & (rel("m") <= 0.03), 2).when(both("m") & (rel("m") <= 0.15), 1).when(both("m"), -1).otherwise(0) + same("vani") + same("typology") + same("floor")
-    on = (F.col("a.area") == F.col("b.area")) & (F.col("a.street") == F.col("b.street")) & (F.col("a.rec") < F.col("b.rec"))
-    return a.join(b, on).select(F.col("a.rec").alias("rec_a"), F.col("b.rec").alias("rec_b"), score.alias("score")).where("score >= 3")
+    band = lambda c, width, sides: F.when(F.col(c) > 0, F.transform(F.array(*[F.lit(s) for s in sides]), lambda s: F.concat(F.lit(f"{c}:"), (F.floor(F.log(c) / F.lit(width)) + s).cast("string"))))
+    none = F.array().cast("array<string>")
+    alike = F.when(F.col("vani").isNotNull() & F.col("typology").isNotNull() & F.col("floor").isNotNull(), F.array(F.concat_ws("/", F.lit("t"), F.col("vani").cast("string"), "typology", "floor")))
+    keyed = lambda sides: o.withColumn("key", F.explode(F.concat(F.coalesce(band("p", 0.0513, sides), none), F.coalesce(band("m", 0.1626, sides), none), F.coalesce(alike, none))))
+    a, b = keyed((0,)).alias("a"), keyed((-1, 0, 1)).alias("b")
+    on = (F.col("a.area") == F.col("b.area")) & (F.col("a.street") == F.col("b.street")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.rec") < F.col("b.rec"))
+    return a.join(b, on).select(F.col("a.rec").alias("rec_a"), F.col("b.rec").alias("rec_b"), score.alias("score")).where("score >= 3").distinct()
 
 
 #: Zones of the query joi_11: code, order, outer ring and holes as corners (x, y).
