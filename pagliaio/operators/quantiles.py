@@ -67,5 +67,4 @@ def quantiles(rows: DataFrame, groups: list[str], value: str, wanted: dict[str,
     result = out.select(*[F.col(k).alias(c) for k, c in zip(names, groups)], "n", *[F.when(F.col("n") > 0, value_of(p)).alias(name) for name, p in at.items()])
     if groups:
         return result
-    none = rows.sparkSession.range(1).select(F.lit(1).alias("_one"))
-    return none.join(result.withColumn("_one", F.lit(1)), "_one", "left").select(F.coalesce("n", F.lit(0).cast("long")).alias("n"), *wanted)
+    return result.agg(F.coalesce(F.max("n"), F.lit(0).cast("long")).alias("n"), *[F.max(name).alias(name) for name in wanted])

@@ -117,7 +117,8 @@ def agg_15(spark, d):
     spread = F.when(F.col("p_hi") > F.col("p_lo"), (F.col("p_hi") - F.col("p_lo")).cast("double") / F.col("p_lo") * 100)
     middle = quantiles(x.select(spread.alias("spread")), [], "spread", {"p50": 0.5}).select(half_up(F.col("p50")).alias("p50_spread"))
     counts = x.agg(F.count("*").alias("clusters"), F.count_if(F.col("p_hi") > F.col("p_lo")).alias("by_price"), F.count_if(F.col("m_hi") > F.col("m_lo")).alias("by_size"), F.count_if(F.col("types") > 1).alias("by_type"), F.sum("withheld").alias("withheld"))
-    return counts.join(F.broadcast(middle))  # one row each
+    both = counts.unionByName(middle, allowMissingColumns=True)  # one row each
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 @plan.query("agg_16", f"WITH {_DIFF} SELECT *, CASE WHEN p_hi > p_lo THEN {half_up_sql('(p_hi - p_lo)::DOUBLE / p_lo * 100')} END AS price_pct, CASE WHEN m_hi > m_lo THEN {half_up_sql('(m_hi - m_lo)::DOUBLE / m_lo * 100')} END AS size_pct FROM x")

@@ -273,16 +273,18 @@ FIRST_DAY, WIDE_GAP = 12_784, 8_000_000
 def dated_ids(ids: DataFrame, anchors: DataFrame, as_of: int, wide_gap: int = WIDE_GAP, first_day: int = FIRST_DAY) -> DataFrame:
     """``ids`` with day and confidence: between two anchors (id, day) on the line, cut to [first_day, as_of], high or medium
     by the gap; up to the first and from the last only a bound is known. With fewer than two anchors neither."""
-    order = W.orderBy("id")
+    order = W.orderBy("id")  # a hand-kept list
     known = anchors.groupBy("id").agg(F.min("day").alias("day"))
-    spans = known.select(F.col("id").alias("x0"), F.col("day").alias("d0"), F.lead("id").over(order).alias("x1"), F.lead("day").over(order).alias("d1"), F.row_number().over(order).alias("k"))  # a hand-kept list
-    ends = known.agg(F.min_by("day", "id").alias("d_old"), F.max_by("day", "id").alias("d_new"), F.count("*").alias("n"))
-    j = ids.join(broadcast_if_small(spans), (F.col("id") >= F.col("x0")) & (F.col("x1").isNull() | (F.col("id") < F.col("x1"))), "left").join(F.broadcast(ends))  # one row
+    spans = known.select(F.col("id").alias("x0"), F.col("day").alias("d0"), F.lead("id").over(order).alias("x1"), F.lead("day").over(order).alias("d1"), F.row_number().over(order).alias("k"))
+    # Before the first anchor lies a span of its own.
+    before = known.agg(F.lit(-(1 << 63)).cast("long").alias("x0"), F.lit(None).cast("int").alias("d0"), F.min("id").alias("x1"), F.min_by("day", "id").alias("d1"), F.lit(0).alias("k"), F.count("*").alias("all")).where("all > 1").drop("all")
+    spans = spans.unionByName(before)
+    j = ids.join(broadcast_if_small(spans), (F.col("id") >= F.col("x0")) & (F.col("x1").isNull() | (F.col("id") < F.col("x1"))), "left")
     line = F.floor(F.col("d0") + (F.col("id") - F.col("x0")).cast("double") * (F.col("d1") - F.col("d0")) / (F.col("x1") - F.col("x0"))).cast("int")
-    old, new = F.col("x0").isNull() | ((F.col("k") == 1) & (F.col("id") == F.col("x0"))), F.col("x1").isNull()
-    few = F.col("n") < 2
-    day = F.when(few | F.col("id").isNull(), None).when(old, F.col("d_old")).when(new, F.col("d_new")).otherwise(F.greatest(F.least(line, F.lit(as_of)), F.lit(first_day)))
-    sure = F.when(few | F.col("id").isNull(), "none").when(old, "bound_old").when(new, "bound_new").when(F.col("x1") - F.col("x0") < wide_gap, "high").otherwise("medium")
+    lone = F.col("k").isNull() | ((F.col("k") == 1) & F.col("x1").isNull())  # fewer than two anchors
+    early, first, last = F.col("k") == 0, (F.col("k") == 1) & (F.col("id") == F.col("x0")), F.col("x1").isNull()
+    day = F.when(lone, None).when(early, F.col("d1")).when(first | last, F.col("d0")).otherwise(F.greatest(F.least(line, F.lit(as_of)), F.lit(first_day)))
+    sure = F.when(lone, "none").when(early | first, "bound_old").when(last, "bound_new").when(F.col("x1") - F.col("x0") < wide_gap, "high").otherwise("medium")
     return j.select(*ids.columns, day.alias("day"), sure.alias("confidence"))
 
 

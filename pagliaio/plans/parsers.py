@@ -112,8 +112,8 @@ def src_12(spark, d):
     """All pages that the sitemaps reach: an index of the sites, a map for each site."""
     site = load(spark, d, "agency_site_listings").where("url IS NOT NULL AND site IS NOT NULL")
     maps = site.groupBy("site").agg(F.concat(F.lit("<urlset>"), F.array_join(F.transform(F.collect_set("url"), lambda u: F.concat(F.lit("<loc> "), u, F.lit(" </loc>"))), ""), F.lit("</urlset>")).alias("xml")).withColumnRenamed("site", "url")  # a sitemap file holds a site's pages
-    index = site.agg(F.concat(F.lit("<sitemapindex><loc>root</loc>"), F.array_join(F.transform(F.collect_set("site"), lambda u: F.concat(F.lit("<loc>"), u, F.lit("</loc>"))), ""), F.lit("</sitemapindex>")).alias("xml")).select(F.lit("root").alias("url"), "xml")
-    return pages.walk_sitemaps(maps.unionByName(index), spark.range(1).select(F.lit("root").alias("url")))
+    index = site.agg(F.concat(F.lit("<sitemapindex><loc>root</loc>"), F.array_join(F.transform(F.collect_set("site"), lambda u: F.concat(F.lit("<loc>"), u, F.lit("</loc>"))), ""), F.lit("</sitemapindex>")).alias("xml"), F.concat(F.lit("map-of-"), F.min("site")).alias("url")).select("url", "xml")
+    return pages.walk_sitemaps(maps.unionByName(index), index.select("url"))
 
 
 @plan.query("src_13", "SELECT source AS captured, max(CAST(source_id AS BIGINT)) AS max_id, count(DISTINCT CAST(source_id AS BIGINT)) AS n_ids FROM listings WHERE regexp_matches(source_id, '^[0-9]{6,}$') GROUP BY source")

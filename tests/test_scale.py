@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
-#: Joins with a few fixed rows on one side, by prefix, box or interval.
-NESTED_LOOPS = {"flt_05", "joi_11", "joi_12", "dat_01", "ext_07"}
+#: Joins with a side of a checked size (areas, zones, anchors) by prefix, containment, box or interval.
+NESTED_LOOPS = {"flt_05", "flt_05_text", "joi_11", "joi_12", "dat_01", "ext_07"}
 
 
 def plan_of(df):
