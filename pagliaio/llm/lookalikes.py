@@ -92,7 +92,8 @@ def compile_table() -> dict[str, str]:
 
 
 TABLE = compile_table()
-_SINGLES = "".join(re.escape(c) for c in TABLE if len(c) == 1)
+# Beyond the basic plane whole blocks are named: a class of single characters is searched one by one there.
+_SINGLES = "".join(re.escape(c) for c in TABLE if len(c) == 1 and c <= "\uffff") + "".join(f"{chr(low)}-{chr(high - 1)}" for low, high in _STYLED if low > 0xFFFF)
 _ANY = re.compile(f"[{_SINGLES}{_MARKS}]|\r\n")
 _MATCH = re.compile(f"\r\n|[^{_MARKS}](?:[{re.escape(INVISIBLE)}]*[{_MARKS}])+|[{_SINGLES}]", re.S)
 _memo: dict[str, str] = {}
