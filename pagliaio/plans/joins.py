@@ -379,18 +379,17 @@ _TAIL = lambda c: f"regexp_extract(regexp_replace({URL(c)}, '[.](html?|php|aspx)
 def joi_17(spark, d):
     """Lookup: one plain address contains the other, or both end in the same reference.
 
-    Addresses without scheme contain each other only where one opens with the other or both share a host, so
-    containment is looked for inside a host (the text up to the first slash); the reference joins on itself.
+    Plain addresses begin with their host, so one contains the other where it opens with it: the longer one's openings,
+    from the host on, meet the shorter one.
     """
     tail = lambda c: F.regexp_extract(F.regexp_replace(plain_url(c), "[.](html?|php|aspx)$", ""), "(?:^|[-_/])([0-9]{3,9})$", 1)
-    host = lambda c: F.split_part(plain_url(c), F.lit("/"), F.lit(1))
-    p = load(spark, d, "agency_site_listings").where("url IS NOT NULL").select("url", plain_url(F.col("url")).alias("a"), tail(F.col("url")).alias("t"), host(F.col("url")).alias("host")).distinct()
-    u = load(spark, d, "url_alt").where("url_alt IS NOT NULL").select("source_id", plain_url(F.col("url_alt")).alias("b"), tail(F.col("url_alt")).alias("r"), host(F.col("url_alt")).alias("host")).distinct()
+    p = load(spark, d, "agency_site_listings").where("url IS NOT NULL").select("url", plain_url(F.col("url")).alias("a"), tail(F.col("url")).alias("t")).distinct()
+    u = load(spark, d, "url_alt").where("url_alt IS NOT NULL").select("source_id", plain_url(F.col("url_alt")).alias("b"), tail(F.col("url_alt")).alias("r")).distinct()
+    openings = lambda c: F.explode(F.transform(F.sequence(F.length(F.split_part(c, F.lit("/"), F.lit(1))), F.length(c)), lambda n: F.left(c, n)))
     by_ref = u.join(p, (F.col("t") == F.col("r")) & (F.col("t") != "")).select("source_id", "url")
-    # Two different addresses of a host that contain each other share their opening path segment too.
-    lead = lambda c: F.substring_index(c, "/", 2)
-    within = u.withColumn("lead", lead(F.col("b"))).join(p.withColumn("lead", lead(F.col("a"))), ["host", "lead"]).where(F.contains("a", F.col("b")) | F.contains("b", F.col("a")))
-    return by_ref.unionByName(within.select("source_id", "url")).distinct()
+    longer_page = u.select("source_id", F.col("b").alias("key")).join(p.where("a <> ''").select("url", openings(F.col("a")).alias("key")), "key")
+    longer_link = u.where("b <> ''").select("source_id", openings(F.col("b")).alias("key")).join(p.select("url", F.col("a").alias("key")), "key")
+    return by_ref.unionByName(longer_page.select("source_id", "url")).unionByName(longer_link.select("source_id", "url")).distinct()
 
 
 @plan.query("joi_18", f"WITH {LISTINGS} SELECT a.rec, b.rec AS hit FROM l a JOIN l b ON regexp_extract(a.url, '([0-9]{{6,}})', 1) = b.source_id")
