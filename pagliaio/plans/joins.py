@@ -460,7 +460,12 @@ def grf_03(spark, d):
     return a.select("cluster", "n", "sellers", ((F.col("n") <= F.col("sellers") + 1) & F.when(F.col("sized") <= 2, True).otherwise(near)).alias("coherent"))
 
 
-@plan.query("grf_04")
+@plan.query(
+    "grf_04",
+    """WITH p AS (SELECT DISTINCT source || '/' || source_id AS rec, photo_id, ('0x' || lower(trim(dhash)))::UBIGINT AS h FROM photo_hashes WHERE trim(dhash) <> ''),
+    g AS (SELECT rec, list([h] ORDER BY photo_id, CASE WHEN h >= 9223372036854775808 THEN 0 ELSE 1 END, h) AS hs FROM p GROUP BY rec)
+    SELECT rec, len(hs)::INTEGER AS pictures, len(list_reduce(hs, lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: bit_count(xor(k, x[1])) <= 2)) > 0 THEN acc ELSE list_concat(acc, x) END))::INTEGER AS kept FROM g""",
+)
 def grf_04(spark, d):
     """Pictures kept per listing: a picture within two bits of one kept before is dropped, in picture order."""
     ph = load(spark, d, "photo_hashes").where("trim(dhash) <> ''").select(rec_name().alias("rec"), "photo_id", hash_bits(F.trim("dhash")).alias("h")).distinct()
