@@ -291,16 +291,26 @@ def cdc_05(spark, d):
 
 
 def _streamed(spark, stream, mode: str):
-    """A stream run once over what is there; its result as a table in the session's memory (one row a window)."""
-    name = f"stream_{uuid.uuid4().hex}"
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
+    """A stream run once over what is there; its result as files in the folder that executors share, none of it in the driver."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream_{uuid.uuid4().hex}"
+    epochs = []
+
+    def write(batch, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{epoch}")
+        epochs.append(epoch)
+
+    stream.writeStream.outputMode(mode).foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+    if not epochs:  # nothing came
+        return spark.createDataFrame([], stream.schema)
+    # A complete result replaces the one before.
+    return spark.read.parquet(*[f"{folder}/{e}" for e in (sorted({*epochs}) if mode == "append" else [max(epochs)])])
 
 
 def _events(spark, d):
     schema = load(spark, d, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    # As a pattern it may be one file or a folder of them.
+    return spark.readStream.schema(schema).parquet(f"{d}/[e]vents.parquet")
 
 
 @plan.query("stream_windows", "SELECT event_type, count(*) AS windows, sum(n)::BIGINT AS n FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, CAST(ts AS TIMESTAMP)) AS w, count(*) AS n FROM events GROUP BY ALL) GROUP BY event_type")

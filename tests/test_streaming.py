@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import __spark_entry__ as entry
 from pagliaio.streaming import deduplicated, observe_stream, sessions, upsert_sink, windowed_counts
 
 
@@ -40,3 +41,21 @@ def test_windows_sessions_and_dedupe(spark):
     assert sum(r["n"] for r in run(windowed_counts(stream), "tumbling", "complete")) == n
     assert sum(r["n"] for r in run(sessions(stream), "sessions", "complete")) == n
     assert len(run(deduplicated(stream), "deduplicated")) == n
+
+
+def test_results_of_streams_stay_out_of_the_driver(spark, tmp_path):
+    """A folder of files is read like one file, and no result passes through a table in the driver's memory."""
+    whole = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    whole.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    users = whole.groupBy("user_id").count().collect()
+    for name, check in (("stream_distinct", lambda rows: [r.n for r in rows] == [whole.count()]), ("stream_sessions", lambda rows: sorted((r.user_id, r.n) for r in rows) == sorted(tuple(r) for r in users)), ("stream_windows", lambda rows: sum(r.n for r in rows) == whole.count())):
+        df = entry.queries()[name](spark, str(tmp_path))
+        plan = df._jdf.queryExecution().analyzed().toString()
+        assert "MemoryPlan" not in plan and "parquet" in plan
+        assert check(df.collect()), name
+
+
+def test_stream_over_no_events(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert [r.n for r in entry.queries()["stream_distinct"](spark, str(tmp_path)).collect()] == [0]
+    assert entry.queries()["stream_sessions"](spark, str(tmp_path)).collect() == []
